@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "wardgrid-tests",
         "local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
