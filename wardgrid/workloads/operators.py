@@ -82,6 +82,13 @@ def _report(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
     )
 
 
+def _named(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
+    """(row_no, code, name) of all organisations, with or without orders."""
+    if by == "customer":
+        return table(spark, sf_dir, "customer").selectExpr("c_custkey AS row_no", "concat('C', c_custkey) AS code", "c_name AS name")
+    return table(spark, sf_dir, "nation").selectExpr("n_nationkey AS row_no", "concat('N', n_nationkey) AS code", "n_name AS name")
+
+
 def report_grid(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
     """The report as a worksheet: two headings per month, a date above them."""
 
@@ -105,9 +112,7 @@ def report_grid(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
                 f"15 | {col} + 1 | 'Total beds occ\\'d'",
             )
         )
-        .unionByName(
-            cells(facts.select("row_no", "code", "name").distinct(), "18 + row_no | 3 | code", "18 + row_no | 4 | name")
-        )
+        .unionByName(cells(_named(spark, sf_dir, by), "18 + row_no | 3 | code", "18 + row_no | 4 | name"))
         .unionByName(cells(facts, f"18 + row_no | {col} | open", f"18 + row_no | {col} + 1 | occ"))
     )
     return parts.select(
