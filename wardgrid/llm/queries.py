@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardgrid.llm import mixing, sharding, warc
+from wardgrid.llm import langid, mixing, sharding, warc, wavelet
 from wardgrid.llm.shared import read_table
 
 
@@ -14,10 +14,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.tokenize_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -26,7 +34,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op3_langid": op3_langid,
     "op5_sharding": op5_sharding,
+    "op7_wavelet": op7_wavelet,
     "op10_mixing": op10_mixing,
 }
 

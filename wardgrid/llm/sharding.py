@@ -56,20 +56,13 @@ def _round(spark: SparkSession, state: DataFrame, capacity: int, number: int) ->
         .groupBy("link")
         .agg(F.collect_list("shard").alias("homes"))
     )
-    placed = state.join(homes, "link", "left")
     choice = F.element_at("homes", (F.pmod(F.xxhash64("row"), F.size("homes")) + 1).cast("int"))
+    # Unlinked rows stay out of the join: their null key would gather them in one task.
+    linked = state.filter("link IS NOT NULL").join(homes, "link", "left")
     wants = F.col("homes").isNotNull() & ~F.array_contains("homes", F.col("shard"))
-    placed = stored(
-        spark,
-        placed.select(
-            "row",
-            "link",
-            "shard",
-            F.when(wants, choice).alias("goal"),
-            F.col("link").isNull().alias("free"),
-        ),
-        f"shards-{number}-goals",
-    )
+    goals = linked.select("row", "link", "shard", F.when(wants, choice).alias("goal"), F.lit(False).alias("free"))
+    free = state.filter("link IS NULL").select("row", "link", "shard", F.lit(None).alias("goal"), F.lit(True).alias("free"))
+    placed = stored(spark, goals.unionByName(free), f"shards-{number}-goals")
     free_rows = placed.filter("free").groupBy(F.col("shard").alias("goal")).agg(F.count("*").alias("quota"))
     movers = _numbered(placed.filter("goal IS NOT NULL"), ["goal"], ["link", "row"], "at")
     moved = stored(
