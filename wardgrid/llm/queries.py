@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardgrid.llm import langid, mixing, sharding, warc, wavelet
+from wardgrid.llm import jaccard, langid, mixing, sharding, toxicity, warc, wavelet
 from wardgrid.llm.shared import read_table
 
 
@@ -18,6 +18,10 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.group_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, read_table(spark, sf_dir, "documents"))
 
@@ -26,6 +30,10 @@ def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.tokenize_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(spark, read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -35,8 +43,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_langid": op3_langid,
+    "op4_jaccard": op4_jaccard,
     "op5_sharding": op5_sharding,
     "op7_wavelet": op7_wavelet,
+    "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }
 
