@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardgrid.llm import jaccard, langid, mixing, sharding, toxicity, warc, wavelet
+from wardgrid.llm import decontaminate, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet
 from wardgrid.llm.shared import read_table
 
 
@@ -26,10 +27,18 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op7_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.tokenize_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(spark, read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -45,7 +54,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_jaccard": op4_jaccard,
     "op5_sharding": op5_sharding,
+    "op6_decontaminate": op6_decontaminate,
     "op7_wavelet": op7_wavelet,
+    "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
 }

@@ -119,12 +119,6 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The positions starts[i] .. starts[i] + lengths[i] of all i, in a row."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-
-
 def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets): exactly what the tokenizer gives for each whole text."""
     tokenizer, table = _tokenizer(path)
@@ -152,7 +146,7 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         begin = table.starts[entry]
         length = table.starts[entry + 1] - begin
         text = np.searchsorted(offsets, starts, "right") - 1
-        ids.append(table.ids[runs(begin, length)])
+        ids.append(table.ids[words.runs(begin, length)])
         owners.append(np.bincount(text, length, minlength=n).astype(np.int64) if len(text) else np.zeros(n, np.int64))
     lengths = np.sum(owners, axis=0, dtype=np.int64) if owners else np.zeros(n, np.int64)
     flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)

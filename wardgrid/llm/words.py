@@ -6,6 +6,7 @@ about a megabyte, cut between words, so memory does not grow with the length of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -68,9 +69,12 @@ def _pieces(data: np.ndarray, first: int, last: int):
         at = cut
 
 
-def spans(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = FOLD, split_marks: bool = False):
+def spans(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = FOLD, split_marks: bool = False, heads: Sequence[int] = ()):
     """Yields (piece start, starts, ends, hashes) of the words, in order; positions are absolute.
 
+    With `heads`, hashes has a row for the words and one for each length in bytes: the hash of a
+    word's first bytes if it has more, else 0.
+
     `fold` maps bytes before hashing. With split_marks a comma or full stop that ends a word
     right after a letter a-z is a word of its own.
     """
@@ -97,6 +101,14 @@ def spans(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = FOLD, split_
         np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=total[1:])
         length = (stops - starts).astype(np.uint64)
         hashes = mix((total[stops] - total[starts]) * down[starts] + length * np.uint64(0xD6E8FEB86659FD93))
+        if heads:
+            rows = [hashes]
+            for k in heads:
+                longer = length > k
+                stop = np.where(longer, starts + k, starts)
+                row = mix((total[stop] - total[starts]) * down[starts] + np.uint64(k * 0x1000193))
+                rows.append(np.where(longer, row, np.uint64(0)))
+            hashes = np.stack(rows)
         yield at, starts + at, stops + at, hashes
 
 
@@ -126,3 +138,9 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
         end = min(max(end, at + 1), len(batch))
         yield batch.slice(at, end - at)
         at = end
+
+
+def runs(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions starts[i] .. starts[i] + lengths[i] of all i, in a row."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
