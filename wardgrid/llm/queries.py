@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import decontaminate, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet
+from wardgrid.llm import decontaminate, extract, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet
 from wardgrid.llm.shared import read_table
 
 
@@ -15,6 +15,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op2_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_extract": op2_extract,
     "op3_langid": op3_langid,
     "op4_jaccard": op4_jaccard,
     "op5_sharding": op5_sharding,
