@@ -16,7 +16,8 @@ Links are needed to group documents, so pairs within what is already one group n
 every document of an index bucket meets the bucket's smallest document; verified links are joined
 into components. Then, in the buckets that still hold more than one component, documents meet a
 representative of another component, and at last all pairs of different components in such buckets
-are checked, so no link between components is lost. A group of near copies costs one pair per
+are checked, so no link between components is lost. Buckets are cut by length classes, so that
+documents of too different lengths never meet. A group of near copies costs one pair per
 document instead of the square.
 
 Similarity counts 64-bit hashes of shingles (chance of a wrong count below 1e-12 per pair).
@@ -42,7 +43,7 @@ from wardgrid.llm.shared import broadcast_if_small, is_small, stored
 
 WORDS = 4
 PERCENT = 85
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 CHUNK_BITS = 16
 #: Document ids of candidates up to this many (8 bytes each) are broadcast to pick their texts.
 MAX_BROADCAST_IDS = 500_000
@@ -146,11 +147,13 @@ def _first_prefixes(levels, size: int, percent: int):
         rank = np.frombuffer(levels.value, np.uint8)
         for batch in batches:
             for part in words.chunks(batch, "text"):
-                found = [prefix(s, rank, 1, percent) for s in shingle_sets(part.column("text"), size)]
+                sets = shingle_sets(part.column("text"), size)
+                found = [prefix(s, rank, 1, percent) for s in sets]
                 ends = np.concatenate([[0], np.cumsum([len(f) for f in found])])
                 flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
                 tokens = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), tokens], names=["doc", "tokens"])
+                lengths = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lengths, tokens], names=["doc", "n", "tokens"])
 
     return emit
 
@@ -231,11 +234,20 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     known = rows.filter("n > 0 AND doc_id IS NOT NULL")
     several = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1")
     copies = known.join(several, "digest").filter("doc_id > rep").select(F.col("doc_id").alias("doc")).distinct()
-    prefixes = texts.filter("doc_id IS NOT NULL").mapInArrow(_first_prefixes(levels, size, percent), "doc long, tokens array<long>")
+    prefixes = texts.filter("doc_id IS NOT NULL").mapInArrow(_first_prefixes(levels, size, percent), "doc long, n long, tokens array<long>")
     prefixes = stored(spark, prefixes.filter(F.size("tokens") > 0), "jaccard-prefixes")
-    index = prefixes.join(copies, "doc", "left_anti").select(F.explode("tokens").alias("token"), "doc")
-    centers = index.groupBy("token").agg(F.min("doc").alias("center"), F.max("doc").alias("last")).filter("center < last")
-    buckets = stored(spark, index.join(centers.drop("last"), "token"), "jaccard-buckets")
+    index = prefixes.join(copies, "doc", "left_anti").select(F.explode("tokens").alias("token"), "doc", "n")
+    shared = index.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    # Sets that reach the similarity are of the same or of neighbouring length classes; each document
+    # is in the bucket of its own class and of the one below, so such sets always share a bucket.
+    length_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) if percent < 100 else 1.0)).cast("int")
+    classed = index.join(shared.select("token"), "token").select(
+        "token", "doc", "n", F.explode(F.array(length_class, length_class - 1)).alias("class")
+    )
+    classed = stored(spark, classed, "jaccard-classed")
+    centers = classed.groupBy("token", "class").agg(F.min("doc").alias("center"), F.max("doc").alias("last"), F.min(F.struct("doc", "n"))["n"].alias("n_center"))
+    buckets = classed.join(centers.filter("center < last").drop("last"), ["token", "class"])
+    buckets = stored(spark, buckets, "jaccard-buckets")
 
     ids = buckets.select(F.col("doc").alias("doc_id")).distinct()
     ids = F.broadcast(ids) if is_small(ids, MAX_BROADCAST_IDS) else ids
@@ -244,26 +256,35 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     )
     cand = stored(spark, cand, "jaccard-candidates")
 
-    pairs = stored(spark, buckets.filter("doc > center").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct(), "jaccard-pairs-0")
+    fits = 100 * F.least("n", "n_center") >= percent * F.greatest("n", "n_center")
+    pairs = stored(spark, buckets.filter((F.col("doc") > F.col("center")) & fits).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct(), "jaccard-pairs-0")
     links = stored(spark, _linked(pairs, cand, size, percent), "jaccard-links-0")
     tried = pairs
     for number in (1, 2):
         found = components(spark, links)
-        placed = buckets.select("token", "doc").join(found, F.col("doc") == F.col("node"), "left")
-        placed = placed.select("token", "doc", F.coalesce("component", "doc").alias("part"))
-        ends = placed.groupBy("token").agg(
-            F.min(F.struct("part", "doc")).alias("low"), F.max(F.struct("part", "doc")).alias("high")
+        placed = buckets.select("token", "class", "doc", "n").join(found, F.col("doc") == F.col("node"), "left")
+        placed = placed.select("token", "class", "doc", "n", F.coalesce("component", "doc").alias("part"))
+        ends = placed.groupBy("token", "class").agg(
+            F.min(F.struct("part", "doc", "n")).alias("low"), F.max(F.struct("part", "doc", "n")).alias("high")
         )
         apart = ends.filter("low.part != high.part")
-        open_ = placed.join(apart, "token")
+        open_ = placed.join(apart, ["token", "class"])
         if number == 1:  # one representative of another component for each document
-            other = F.when(F.col("part") == F.col("low.part"), F.col("high.doc")).otherwise(F.col("low.doc"))
-            more = open_.select(F.least("doc", other).alias("a"), F.greatest("doc", other).alias("b"))
+            other = F.when(F.col("part") == F.col("low.part"), F.col("high")).otherwise(F.col("low"))
+            more = (
+                open_.withColumn("other", other)
+                .filter(100 * F.least("n", "other.n") >= percent * F.greatest("n", "other.n"))
+                .select(F.least("doc", "other.doc").alias("a"), F.greatest("doc", "other.doc").alias("b"))
+            )
         else:  # every pair of different components that shares a bucket
-            open_ = stored(spark, open_.select("token", "doc", "part"), "jaccard-open")
-            left = open_.select("token", F.col("doc").alias("a"), F.col("part").alias("part_a"))
-            right = open_.select("token", F.col("doc").alias("b"), F.col("part").alias("part_b"))
-            more = left.join(right, (left["token"] == right["token"]) & (F.col("a") < F.col("b")) & (F.col("part_a") != F.col("part_b")))
+            open_ = stored(spark, open_.select("token", "class", "doc", "n", "part"), "jaccard-open")
+            left = open_.toDF("token", "class", "a", "n_a", "part_a")
+            right = open_.toDF("token", "class", "b", "n_b", "part_b")
+            more = left.join(right, ["token", "class"]).filter(
+                (F.col("a") < F.col("b"))
+                & (F.col("part_a") != F.col("part_b"))
+                & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+            )
             more = more.select("a", "b")
         more = stored(spark, more.distinct().join(tried, ["a", "b"], "left_anti"), f"jaccard-pairs-{number}")
         tried = tried.unionAll(more)
