@@ -12,9 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Call-site capture on every Column call; plans here are built from many.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Row assembly collects one sheet row per group; keep it hash-based well
-    # past the default of 128 groups before it falls back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
 }
 
 
