@@ -5,7 +5,10 @@ smallest doc_id stands for. If two sets reach similarity t, then under every glo
 shingles their prefixes (the first n - ceil(t * n) + 1 of n shingles) share a shingle. Three orders
 are used; a pair is verified only if it passes all of them and the length filter:
 
-1. rarest first, ties by a hash: an inverted index on these prefixes makes the candidate pairs;
+1. rarest first, ties by a hash: an inverted index on these prefixes makes the candidate pairs. At the
+   first shingle that two sets share under the order, those before it are shared by neither, so the
+   places of that shingle bound the intersection. A bucket passes only pairs within that bound; a
+   pair that meets in several buckets is held to it at its first one, so no link is lost;
 2. rarest first in coarser steps, ties by another hash;
 3. by a third hash alone.
 
@@ -13,7 +16,7 @@ How rare a shingle is comes from one sketch of counters over all documents (summ
 fixed size). An order needs no exact counts, only one rank per shingle for all documents.
 
 Links are needed to group documents, so pairs within what is already one group need no check. First
-every document of an index bucket meets the bucket's smallest document; verified links are joined
+every document of an index bucket meets the document with the fewest rarer shingles; verified links are joined
 into components. Then, in the buckets that still hold more than one component, documents meet a
 representative of another component, and at last all pairs of different components in such buckets
 are checked, so no link between components is lost. Buckets are cut by length classes, so that
@@ -34,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardgrid.llm import words
@@ -88,10 +91,12 @@ def order_keys(tokens: np.ndarray, levels: np.ndarray, number: int) -> np.ndarra
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, number: int, percent: int = PERCENT) -> np.ndarray:
+    """The first shingles under an order (ties by the shingle itself), in that order."""
     if not len(tokens):
         return tokens
     keys, keep = order_keys(tokens, levels, number), prefix_length(len(tokens), percent)
-    return tokens[keys <= np.partition(keys, keep - 1)[keep - 1]]
+    first = keys <= np.partition(keys, keep - 1)[keep - 1]
+    return tokens[first][np.lexsort((tokens[first], keys[first]))]
 
 
 def _scan(size: int):
@@ -141,7 +146,6 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 
-
 def _first_prefixes(levels, size: int, percent: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(levels.value, np.uint8)
@@ -197,6 +201,12 @@ def _verify(size: int, percent: int):
     return verify
 
 
+def _possible(n_a: Column, before_a: Column, n_b: Column, before_b: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough if they share nothing before these places."""
+    most = F.least(n_a - before_a, n_b - before_b)
+    return 100 * most >= percent * (n_a + n_b - most)
+
+
 def _linked(pairs: DataFrame, cand: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a < b) that reach the similarity: length and order filters, then whole sets."""
     light = cand.select("doc", "n", "second", "third")
@@ -236,17 +246,18 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     copies = known.join(several, "digest").filter("doc_id > rep").select(F.col("doc_id").alias("doc")).distinct()
     prefixes = texts.filter("doc_id IS NOT NULL").mapInArrow(_first_prefixes(levels, size, percent), "doc long, n long, tokens array<long>")
     prefixes = stored(spark, prefixes.filter(F.size("tokens") > 0), "jaccard-prefixes")
-    index = prefixes.join(copies, "doc", "left_anti").select(F.explode("tokens").alias("token"), "doc", "n")
+    index = prefixes.join(copies, "doc", "left_anti").select(F.posexplode("tokens").alias("before", "token"), "doc", "n")
     shared = index.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
     # Sets that reach the similarity are of the same or of neighbouring length classes; each document
     # is in the bucket of its own class and of the one below, so such sets always share a bucket.
     length_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) if percent < 100 else 1.0)).cast("int")
     classed = index.join(shared.select("token"), "token").select(
-        "token", "doc", "n", F.explode(F.array(length_class, length_class - 1)).alias("class")
+        "token", "doc", "n", "before", F.explode(F.array(length_class, length_class - 1)).alias("class")
     )
     classed = stored(spark, classed, "jaccard-classed")
-    centers = classed.groupBy("token", "class").agg(F.min("doc").alias("center"), F.max("doc").alias("last"), F.min(F.struct("doc", "n"))["n"].alias("n_center"))
-    buckets = classed.join(centers.filter("center < last").drop("last"), ["token", "class"])
+    place = F.struct((F.col("before") / F.col("n")).alias("share"), "doc", "n", "before")
+    centers = classed.groupBy("token", "class").agg(F.min(place).alias("center"), F.min("doc").alias("low"), F.max("doc").alias("high"))
+    buckets = classed.join(centers.filter("low < high").drop("low", "high"), ["token", "class"])
     buckets = stored(spark, buckets, "jaccard-buckets")
 
     ids = buckets.select(F.col("doc").alias("doc_id")).distinct()
@@ -256,16 +267,20 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     )
     cand = stored(spark, cand, "jaccard-candidates")
 
-    fits = 100 * F.least("n", "n_center") >= percent * F.greatest("n", "n_center")
-    pairs = stored(spark, buckets.filter((F.col("doc") > F.col("center")) & fits).select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct(), "jaccard-pairs-0")
+    meet = _possible(F.col("n"), F.col("before"), F.col("center.n"), F.col("center.before"), percent)
+    pairs = buckets.filter((F.col("doc") != F.col("center.doc")) & meet)
+    pairs = pairs.select(F.least("doc", "center.doc").alias("a"), F.greatest("doc", "center.doc").alias("b"))
+    pairs = stored(spark, pairs.distinct(), "jaccard-pairs-0")
     links = stored(spark, _linked(pairs, cand, size, percent), "jaccard-links-0")
     tried = pairs
     for number in (1, 2):
         found = components(spark, links)
-        placed = buckets.select("token", "class", "doc", "n").join(found, F.col("doc") == F.col("node"), "left")
-        placed = placed.select("token", "class", "doc", "n", F.coalesce("component", "doc").alias("part"))
+        placed = buckets.select("token", "class", "doc", "n", "before").join(found, F.col("doc") == F.col("node"), "left")
+        placed = placed.select("token", "class", "doc", "n", "before", F.coalesce("component", "doc").alias("part"))
+        share = F.col("before") / F.col("n")
         ends = placed.groupBy("token", "class").agg(
-            F.min(F.struct("part", "doc", "n")).alias("low"), F.max(F.struct("part", "doc", "n")).alias("high")
+            F.min(F.struct("part", share.alias("share"), "doc", "n", "before")).alias("low"),
+            F.max(F.struct("part", (-share).alias("share"), "doc", "n", "before")).alias("high"),
         )
         apart = ends.filter("low.part != high.part")
         open_ = placed.join(apart, ["token", "class"])
@@ -273,17 +288,17 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
             other = F.when(F.col("part") == F.col("low.part"), F.col("high")).otherwise(F.col("low"))
             more = (
                 open_.withColumn("other", other)
-                .filter(100 * F.least("n", "other.n") >= percent * F.greatest("n", "other.n"))
+                .filter(_possible(F.col("n"), F.col("before"), F.col("other.n"), F.col("other.before"), percent))
                 .select(F.least("doc", "other.doc").alias("a"), F.greatest("doc", "other.doc").alias("b"))
             )
         else:  # every pair of different components that shares a bucket
-            open_ = stored(spark, open_.select("token", "class", "doc", "n", "part"), "jaccard-open")
-            left = open_.toDF("token", "class", "a", "n_a", "part_a")
-            right = open_.toDF("token", "class", "b", "n_b", "part_b")
+            open_ = stored(spark, open_.select("token", "class", "doc", "n", "before", "part"), "jaccard-open")
+            left = open_.toDF("token", "class", "a", "n_a", "before_a", "part_a")
+            right = open_.toDF("token", "class", "b", "n_b", "before_b", "part_b")
             more = left.join(right, ["token", "class"]).filter(
                 (F.col("a") < F.col("b"))
                 & (F.col("part_a") != F.col("part_b"))
-                & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+                & _possible(F.col("n_a"), F.col("before_a"), F.col("n_b"), F.col("before_b"), percent)
             )
             more = more.select("a", "b")
         more = stored(spark, more.distinct().join(tried, ["a", "b"], "left_anti"), f"jaccard-pairs-{number}")
