@@ -207,8 +207,12 @@ def _possible(n_a: Column, before_a: Column, n_b: Column, before_b: Column, perc
     return 100 * most >= percent * (n_a + n_b - most)
 
 
-def _linked(pairs: DataFrame, cand: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a < b) that reach the similarity: length and order filters, then whole sets."""
+def _linked(spark: SparkSession, pairs: DataFrame, cand: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a < b) that reach the similarity: length and order filters, then whole sets.
+
+    Only texts of documents in pairs that pass the filters are shuffled, if those ids are few
+    enough to broadcast; else all candidate texts are.
+    """
     light = cand.select("doc", "n", "second", "third")
     left = light.select(F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("second").alias("s_a"), F.col("third").alias("t_a"))
     right = light.select(F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("second").alias("s_b"), F.col("third").alias("t_b"))
@@ -219,7 +223,10 @@ def _linked(pairs: DataFrame, cand: DataFrame, size: int, percent: int) -> DataF
         .filter(F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("t_a", "t_b"))
         .select("a", "b")
     )
+    passed = stored(spark, passed, "jaccard-passed")
+    ids = passed.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
     texts = cand.select("doc", "text")
+    texts = texts.join(F.broadcast(ids), "doc", "left_semi") if is_small(ids, MAX_BROADCAST_IDS) else texts
     whole = passed.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a"
     )
@@ -245,9 +252,10 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     several = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1")
     copies = known.join(several, "digest").filter("doc_id > rep").select(F.col("doc_id").alias("doc")).distinct()
     prefixes = texts.filter("doc_id IS NOT NULL").mapInArrow(_first_prefixes(levels, size, percent), "doc long, n long, tokens array<long>")
-    prefixes = stored(spark, prefixes.filter(F.size("tokens") > 0), "jaccard-prefixes")
-    index = prefixes.join(copies, "doc", "left_anti").select(F.posexplode("tokens").alias("before", "token"), "doc", "n")
-    shared = index.groupBy("token").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
+    copies = broadcast_if_small(copies, MAX_BROADCAST_IDS)
+    prefixes = stored(spark, prefixes.filter(F.size("tokens") > 0).join(copies, "doc", "left_anti"), "jaccard-prefixes")
+    index = prefixes.select(F.posexplode("tokens").alias("before", "token"), "doc", "n")
+    shared = index.groupBy("token").agg(F.count("*").alias("rows")).filter("rows > 1")
     # Sets that reach the similarity are of the same or of neighbouring length classes; each document
     # is in the bucket of its own class and of the one below, so such sets always share a bucket.
     length_class = F.floor(F.log("n") / F.lit(float(np.log(100 / percent)) if percent < 100 else 1.0)).cast("int")
@@ -271,7 +279,7 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     pairs = buckets.filter((F.col("doc") != F.col("center.doc")) & meet)
     pairs = pairs.select(F.least("doc", "center.doc").alias("a"), F.greatest("doc", "center.doc").alias("b"))
     pairs = stored(spark, pairs.distinct(), "jaccard-pairs-0")
-    links = stored(spark, _linked(pairs, cand, size, percent), "jaccard-links-0")
+    links = stored(spark, _linked(spark, pairs, cand, size, percent), "jaccard-links-0")
     tried = pairs
     for number in (1, 2):
         found = components(spark, links)
@@ -303,7 +311,7 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
             more = more.select("a", "b")
         more = stored(spark, more.distinct().join(tried, ["a", "b"], "left_anti"), f"jaccard-pairs-{number}")
         tried = tried.unionAll(more)
-        links = stored(spark, links.unionAll(_linked(more, cand, size, percent)), f"jaccard-links-{number}")
+        links = stored(spark, links.unionAll(_linked(spark, more, cand, size, percent)), f"jaccard-links-{number}")
     return rows, components(spark, links)
 
 
