@@ -63,3 +63,22 @@ def test_two_values_for_one_place_fail(spark, make_grid):
     sheets = generic_sheets() | {"A&E Closures": worksheet([S1, S2, "2019-12-02"], {3: ["R", "A1", "Alpha", 1, None, 7]})}
     with pytest.raises(Exception, match="more than one cell for one organisation"):
         load_sitreps(spark, "2019-20", make_grid("2019-20", sheets)).collect()
+
+
+def test_two_columns_of_a_day_multiply_rows(spark, make_grid):
+    # The first column of the day is empty for Beta, so that organisation has one row only.
+    body = {3: ["R", "A1", "Alpha", 1, None, 7], 4: ["R", "B1", "Beta", None, 2, 8]}
+    sheets = generic_sheets() | {"A&E Closures": worksheet([S1, S2, "2019-12-02"], body)}
+    rows = load_sitreps(spark, "2019-20", make_grid("2019-20", sheets), duplicates="multiply").collect()
+    found = sorted((r.code, r.report_date, r.closures) for r in rows if r.code in ("A1", "B1") and r.closures is not None)
+    assert found == [("A1", D1, 1), ("A1", D1, 7), ("B1", D1, 8), ("B1", D2, 2)]
+
+
+def test_a_cell_that_comes_twice_fails_in_both_modes(spark, make_grid):
+    grid = make_grid("2019-20", generic_sheets())
+    again = grid.where("sheet = 'A&E Closures' AND value = '1'").selectExpr(
+        "winter", "workbook", "sheet", "row_idx", "col_idx", "'4' AS value"
+    )
+    for duplicates in ("error", "multiply"):
+        with pytest.raises(Exception, match="more than one cell for one organisation"):
+            load_sitreps(spark, "2019-20", grid.unionAll(again), duplicates=duplicates).collect()
