@@ -25,6 +25,17 @@ def test_directory_reads_quotes_blanks_and_na(spark, tmp_path):
     assert rows["RXX"]["Null 12"] is None
 
 
+def test_directory_records_with_line_breaks_or_missing_fields(spark, tmp_path):
+    broken = ",".join(["R1A", '"The\nTrust"'] + [""] * 25)
+    (tmp_path / "etr.csv").write_text(broken + "\n")
+    (row,) = load_trusts(spark, str(tmp_path / "etr.csv"), multi_line=True).collect()
+    assert row["Name"] == "The\nTrust"
+    (tmp_path / "short.csv").write_text("R1A,Two fields\n")
+    for path in ("etr.csv", "short.csv"):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            load_trusts(spark, str(tmp_path / path)).select("Name").collect()
+
+
 def test_cells_round_trip_and_csv(spark, make_grid, tmp_path):
     grid = make_grid("2019-20", {"G&A beds": worksheet(["43801"], {1: ["-", "R1", "One", 5]})})
     path = str(tmp_path / "cells")

@@ -39,16 +39,20 @@ DIRECTORY_COLUMNS = (
 DIRECTORY_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in DIRECTORY_COLUMNS])
 
 
-def read_directory(spark: SparkSession, path: str) -> DataFrame:
+def read_directory(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """All columns as text; empty fields and "NA" are NULL.
 
-    Files stay splittable: a field with a line break inside quotes is not
-    supported.
+    A record with more or fewer than 27 fields fails the job. Files are split
+    at line breaks; multi_line allows line breaks inside quotes and reads each
+    file in one task.
     """
     raw = (
         spark.read.schema(DIRECTORY_SCHEMA)
         .option("header", False)
         .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("multiLine", multi_line)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
