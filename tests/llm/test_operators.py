@@ -94,6 +94,18 @@ def test_extract(spark):
     assert got[3] == got[4] == ("", 0) and got[5] == ("plain text", 10)
 
 
+@pytest.mark.parametrize(
+    "around",
+    ['class="overflow-hidden"', 'style="overflow:hidden"', 'data-x="hidden"', 'class="content has-sidebar"', 'class="entry comments-open"', 'id="page" class="layout sidebar-left"'],
+)
+@pytest.mark.parametrize("inner", ["article", "div"])
+def test_extract_keeps_what_holds_the_article(around, inner):
+    aside = '<div class="sidebar"><p>Aside</p></div><div hidden><p>Secret</p></div><p style="color:red;display:none">Gone</p>'
+    comments = '<div id="comments" class="comments-area">' + "<article><p>A reader says very many things.</p></article>" * 9 + "</div>"
+    page = f"<body><div {around}><{inner}><h1>Title</h1><p>First paragraph.</p><p>Second one.</p></{inner}>{aside}</div>{comments}<div class=sidebar><p>More</p></div></body>"
+    assert extract.extract(page) == "Title First paragraph. Second one."
+
+
 def test_consensus_path_beats_an_odd_page(spark):
     odd = "<body><div class=note1><p>short</p></div><div class=main><p>text</p></div></body>"
     usual = "<body><div class=main><p>" + "text " * 50 + "</p></div></body>"

@@ -8,7 +8,9 @@ own best container.
 
 Left out everywhere: scripts, styles, forms, navigation, headers, footers, sidebars, notices,
 adverts, sharing and comment sections, by tag, role or class. A heading in an article's own header
-stays. Blocks are trimmed, white space within them becomes one space, and they are joined in page
+stays. So does an element marked by a word of its class or id only if it is what the page is about: it
+holds the main element, or an article or most of the text outside links (see `_restore`). Hidden are
+elements with the attribute hidden or display:none in their style. Blocks are trimmed, white space within them becomes one space, and they are joined in page
 order by one space.
 
 Votes are whole numbers, so sums do not depend on their order; ties go to the smaller path. Only
@@ -68,17 +70,24 @@ BOILERPLATE = frozenset(
 _STRONG = re.compile(r"^(comment|sidebar|advert|cookie|navbar|newsletter|breadcrumb)")
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=)|display\s*:\s*none", re.I)
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+# Words that make a class a state of the page ("has-sidebar", "comments-open"), not a name of the element.
+_STATE = re.compile(r"^(has|have|no|not|with|without|is|show|hide)[-_]|[-_](open|opened|closed|enabled|disabled|on|off|active|visible)$")
+_READERS = re.compile(r"^(comment|disqus|repl|respond)")
+#: Kinds of marked elements, the likeliest article first.
+MARKS = ("state", "mixed", "named", "readers")
+#: An element that is only named as boilerplate is kept if it holds so many times the text of the rest.
+NAMED_TIMES = 10
 _SPLIT = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"\d+")
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("children", "dropped", "name", "parent", "tag")
+    __slots__ = ("children", "dropped", "mark", "name", "parent", "tag")
 
-    def __init__(self, tag: str, parent: Node | None, name: str, dropped: bool) -> None:
-        self.tag, self.parent, self.name, self.dropped = tag, parent, name, dropped
+    def __init__(self, tag: str, parent: Node | None, name: str, dropped: bool, mark: str = "") -> None:
+        self.tag, self.parent, self.name, self.dropped, self.mark = tag, parent, name, dropped, mark
         self.children: list[Node | str] = []
 
     def path(self) -> str:
@@ -93,15 +102,104 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if "=" in text else {}
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], rest: str) -> bool:
-    if tag in ("html", "body", "article", "main"):
-        return False
-    if rest and _HIDDEN.search(rest):
+def _is_hidden(attributes: dict[str, str], rest: str) -> bool:
+    if _NOT_SHOWN.search(attributes.get("style", "")):
         return True
-    for key in ("class", "id", "role", "aria-label"):
-        for word in _SPLIT.split(attributes.get(key, "").lower()):
-            if word in BOILERPLATE or (word and _STRONG.match(word)):
-                return True
+    if "hidden" not in rest.lower():
+        return False
+    return attributes.get("hidden", "until-found").lower() != "until-found" or "hidden" in _ATTRIBUTE.sub(" ", rest).lower().replace("/", " ").split()
+
+
+def _is_word(word: str) -> bool:
+    return word in BOILERPLATE or bool(word and _STRONG.match(word))
+
+
+def _mark(attributes: dict[str, str]) -> str:
+    """How class, id and role mark an element: "" not, "state", "mixed" (beside other names), "named" or "readers"."""
+    if any(_is_word(w) for key in ("role", "aria-label") for w in _SPLIT.split(attributes.get(key, "").lower())):
+        return "named"
+    names = [*attributes.get("class", "").lower().split(), *attributes.get("id", "").lower().split()]
+    marked = [n for n in names if any(map(_is_word, _SPLIT.split(n)))]
+    if not marked:
+        return ""
+    if all(map(_STATE.search, marked)):
+        return "state"
+    if any(_READERS.match(w) for n in marked if not _STATE.search(n) for w in _SPLIT.split(n)):
+        return "readers"
+    return "mixed" if len(marked) < len(names) else "named"
+
+
+def _restore(root: Node) -> None:
+    """Decides on elements that only a word marks, and lets dropped elements drop all below them.
+
+    Text is counted without links. An element is held against the rest of the page that no word marks:
+    a state drops none with an article or more text than the rest; a name beside others none with one article or
+    more text than the rest, unless an article stands elsewhere; a name alone none with an article and more
+    text than the rest, on the same condition. Any with NAMED_TIMES the text of the rest stays, and so do
+    those around a main element. Sections of comments may hold articles of their own and only stay by NAMED_TIMES.
+    """
+    plain: dict[int, int] = {}  # text below an element outside marked elements
+    heads: dict[int, list[str]] = {}  # article and main elements likewise
+    marked: list[tuple[Node, list[Node]]] = []  # with the marked elements around each, outermost first
+    stack: list[tuple[Node, list[Node], bool]] = [(root, [root], False)]
+    while stack:
+        node, zones, link = stack.pop()
+        zone = id(zones[-1])
+        for child in node.children:
+            if isinstance(child, str):
+                plain[zone] = plain.get(zone, 0) + (0 if link else len(child.strip()))
+            elif not child.dropped:
+                if child.tag in ("article", "main"):
+                    heads.setdefault(zone, []).append(child.tag)
+                if child.mark:
+                    marked.append((child, zones))
+                stack.append((child, [*zones, child] if child.mark else zones, link or child.tag == "a"))
+    held, inside = dict(plain), {k: list(v) for k, v in heads.items()}
+    for level in range(len(MARKS)):  # what is kept at one level is part of the rest at the next
+        shown = [n for n, zones in marked if not n.mark and not any(z.mark for z in zones)]
+        base = sum(plain.get(id(n), 0) for n in [root, *shown])
+        seen = {id(root), *map(id, shown)}
+        for node, zones in reversed(marked):  # inner elements before those around them
+            if node.mark not in MARKS[: level + 1]:
+                continue
+            own, parts = held.get(id(node), 0), inside.get(id(node), [])
+            rest = base + sum(plain.get(id(z), 0) for z in zones if id(z) not in seen)
+            keep = "main" in parts or own > NAMED_TIMES * rest
+            if node.mark == "state":
+                keep = keep or bool(parts) or own > rest
+            elif node.mark == "mixed":
+                keep = keep or (len(parts) == 1 or own > rest) and own > 0 and not any(_beside(z, node) for z in zones)
+            elif node.mark == "named":
+                keep = keep or bool(parts) and own > rest and not any(_beside(z, node) for z in zones)
+            if keep:
+                node.mark = ""
+                for z in reversed(zones):
+                    held[id(z)] = held.get(id(z), 0) + own
+                    inside.setdefault(id(z), []).extend(parts)
+                    if z.mark:
+                        break
+    below = [root]
+    while below:
+        node = below.pop()
+        for child in node.children:
+            if isinstance(child, Node):
+                child.dropped = child.dropped or bool(child.mark) or node.dropped
+                below.append(child)
+
+
+def _beside(zone: Node, node: Node) -> bool:
+    """Whether a zone has, outside marked elements, an article or main that is not around the node."""
+    around, up = set(), node
+    while up is not None:
+        around.add(id(up))
+        up = up.parent
+    stack = [zone]
+    while stack:
+        for child in stack.pop().children:
+            if isinstance(child, Node) and not child.dropped and not child.mark:
+                if child.tag in ("article", "main") and id(child) not in around:
+                    return True
+                stack.append(child)
     return False
 
 
@@ -144,21 +242,25 @@ def parse(html: str) -> Node:
         rest = m[3]
         attributes = _attributes(rest)
         label = next((_DIGITS.sub("N", c) for c in attributes.get("class", "").lower().split()[:1]), "")
-        inside = node.dropped
+        mark = ""
         if tag == "header":
             up = node
             while up is not None and up.tag not in ("article", "main"):
                 up = up.parent
-            dropped = up is None or _is_boilerplate("div", {k: v for k, v in attributes.items() if k == "id"}, "")
+            dropped = up is None or bool(_mark({"id": attributes.get("id", "")}))
         else:
-            dropped = tag in DROPPED or _is_boilerplate(tag, attributes, rest)
-        child = Node(tag, node, f"{tag}.{label}" if label else tag, inside or dropped)
+            dropped = tag in DROPPED
+            if not dropped and rest and tag not in ("html", "body", "article", "main"):
+                dropped = _is_hidden(attributes, rest)
+                mark = _mark(attributes)
+        child = Node(tag, node, f"{tag}.{label}" if label else tag, dropped, mark)
         node.children.append(child)
         if tag in RAW and not rest.endswith("/"):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             at = end.end() if end else size
         elif tag not in VOID and not (rest.endswith("/") and tag in ("svg", "path")):
             node = child
+    _restore(root)
     return root
 
 
