@@ -106,6 +106,15 @@ def test_extract_keeps_what_holds_the_article(around, inner):
     assert extract.extract(page) == "Title First paragraph. Second one."
 
 
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+def test_extract_keeps_the_title_of_long_articles(spark, outer):
+    menu = '<div class="links"><a href=1>Other story</a> <a href=2>Next story</a></div>'
+    page = "<body><div>{m}<{o}><h1>The title</h1><div class=entry-content><p>{t}</p></div><div class=sub>Author</div></{o}></div></body>"
+    rows = [(i, "http://h/", page.format(m=menu, o=outer, t=" ".join(["words"] * n))) for i, n in enumerate((20, 2000))]
+    got = {r["page_id"]: r["text"] for r in extract.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: " ".join(["The title", *["words"] * n, "Author"]) for i, n in enumerate((20, 2000))}
+
+
 def test_consensus_path_beats_an_odd_page(spark):
     odd = "<body><div class=note1><p>short</p></div><div class=main><p>text</p></div></body>"
     usual = "<body><div class=main><p>" + "text " * 50 + "</p></div></body>"

@@ -4,7 +4,8 @@ A page's containers are scored by the text of their paragraphs, less links. Each
 best containers, named by their generalised path (tags and classes from the root, digits as N). Votes
 are added up per host in Spark, so one odd page does not decide; then every page is read again and
 the text is taken from the containers on its host's winning path. A page without that path uses its
-own best container.
+own best container. The text is that of the article or main element around the container; without one, of
+the elements around it as far as they add text that is not links, so titles and leads beside the body stay.
 
 Left out everywhere: scripts, styles, forms, navigation, headers, footers, sidebars, notices,
 adverts, sharing and comment sections, by tag, role or class. A heading in an article's own header
@@ -351,8 +352,32 @@ def votes(html: str | None) -> list[tuple[str, int]]:
     return [(path, int(1000 * score / total)) for path, score in best if total]
 
 
+def _whole(node: Node) -> Node:
+    """The article or main element around a container; without one, as far up as only text is added.
+
+    A step up may add no more letters in links than others. Body is only taken for text outside its other containers.
+    """
+    up = node
+    while up is not None:
+        if up.tag in ("article", "main"):
+            node = up
+            break
+        up = up.parent
+    total, linked = _length(node)
+    while (up := node.parent) is not None and up.tag != "html" and up.parent is not None:
+        all_, links = _length(up)
+        if 2 * (links - linked) > all_ - total:
+            break
+        if up.tag == "body" or node.tag in ("article", "main"):
+            others = (c for c in up.children if isinstance(c, Node) and c is not node and not c.dropped and c.tag in CONTAINERS)
+            if any(_length(c)[0] for c in others):
+                break
+        node, total, linked = up, all_, links
+    return node
+
+
 def extract(html: str | None, path: str | None = None) -> str:
-    """Text of the containers on the path; of the page's own best container if it has none there."""
+    """Text of the containers on the path, whole; of the page's own best container if it has none there."""
     root = parse(html or "")
     found: list[Node] = []
     if path:
@@ -363,12 +388,22 @@ def extract(html: str | None, path: str | None = None) -> str:
                 found.append(node)
                 continue
             stack += [c for c in reversed(node.children) if isinstance(c, Node)]
-    blocks = [b for node in found for b in text_of(node)]
-    if not blocks:
+    if any(text_of(node) for node in found):
+        whole = {id(node): node for node in map(_whole, found)}
+        inner = set()
+        for node in whole.values():
+            up = node.parent
+            while up is not None and id(up) not in whole:
+                up = up.parent
+            if up is not None:
+                inner.add(id(node))
+        blocks = [b for key, node in whole.items() if key not in inner for b in text_of(node)]
+    else:
+        blocks = []
         scored = score_containers(root)
         if scored:
             best = max(scored.values(), key=lambda x: (x[1], x[0].path()))[0]
-            blocks = text_of(best)
+            blocks = text_of(_whole(best))
     return " ".join(blocks)
 
 
