@@ -241,6 +241,19 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert decontaminate.find_leaks(documents(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_passages_without_a_question_are_verified_whole(spark):
+    passage = "Along the northern ridge the old surveyors left seven marked stones beside the frozen track. Nobody moved them for ninety winters after that. It snowed."
+    filler = " ".join(f"f{i}" for i in range(200))
+    texts = [f"{filler} {passage}", f"{filler} {passage.replace('It snowed', 'Rain fell')} {filler}", f"{passage[:-10]} {filler}", f"It snowed. {filler}"]
+    bench = spark.createDataFrame([(7, passage), *ITEMS], "item_id long, text string")
+    found = decontaminate.find_leaks(documents(spark, texts), bench)
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(0, 7), (1, 7), (2, 7)]
+    assert decontaminate.split_item("Who? The cat.") == ("Who?", "The cat.")
+    assert decontaminate.split_item("Name it. Answer: Ogelle")[1].strip() == "Ogelle"
+    for whole in (passage, "Why not? It rained. It snowed.", "Who? Where?", "Vitamin a: good."):
+        assert decontaminate.split_item(whole) == (whole, whole)
+
+
 def test_block_max_wand_matches_all_scores():
     rng = np.random.default_rng(5)
     items = [(i, " ".join(f"t{x}" for x in rng.zipf(1.4, 30) % 200)) for i in range(120)]

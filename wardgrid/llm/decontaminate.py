@@ -9,9 +9,9 @@ passages; each passage is a query, and all pieces at or above the threshold are
    are skipped (running sums over whole batches), as are those whose greatest scores in no block of
    pieces do (sums over all passages and blocks at once);
 2. the others run block-max WAND, which moves from pivot to pivot and skips blocks likewise;
-3. a retrieved item is verified: enough word trigrams of its question and of its answer must occur
-   near the passage. The answer is the item's last sentence, the question the rest; an item of one
-   sentence is both.
+3. a retrieved item is verified: enough of its word trigrams must occur near the passage. An item that
+   is a question with an answer (see `split_item`) needs enough of each; any other is taken whole, and
+   both overlaps are that of the whole item.
 
 An index of at most INDEX_ITEMS items is broadcast; a larger benchmark is searched in several such
 parts, each with its own statistics.
@@ -64,10 +64,24 @@ def _grams(hashes: np.ndarray, size: int = NGRAM) -> np.ndarray:
     return np.unique(total)
 
 
+_LABEL = re.compile(r"(?:^|(?<=\s))answer\s*:|^\s*a\s*:", re.I | re.M)
+
+
 def split_item(text: str) -> tuple[str, str]:
-    """(question, answer): the answer is the last sentence or line."""
-    parts = [p for p in re.split(r"(?<=[.!?])\s+|\n+", text.strip()) if p.strip()]
-    return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (text, text)
+    """(question, answer) of an item that has that form, else the whole item twice.
+
+    The form is a label "Answer:" (or "A:" at a line's start) between the two, or a question mark
+    that ends the last sentence but one, or the last line but one.
+    """
+    text = text.strip()
+    labels = list(_LABEL.finditer(text))
+    if labels and text[: labels[-1].start()].strip() and text[labels[-1].end() :].strip():
+        return text[: labels[-1].start()], text[labels[-1].end() :]
+    for ends in (r"(?<=[.!?])\s+|\n+", r"\n+"):
+        parts = [p for p in re.split(ends, text) if p.strip()]
+        if len(parts) > 1 and parts[-2].rstrip().endswith("?") and not parts[-1].rstrip().endswith("?"):
+            return " ".join(parts[:-1]), parts[-1]
+    return text, text
 
 
 class Index:
