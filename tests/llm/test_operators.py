@@ -353,6 +353,26 @@ def test_counterfactuals_lower_the_score_of_neutral_mentions():
     assert 0 <= gaps[1] < 0.5 * gaps[0]
 
 
+def test_swapped_terms_take_their_heads_along():
+    texts = ["muslims and muslim immigration: Muslim immigrants", "christians and christian immigration: christian citizens", "women men women"]
+    sparse = toxicity.counted(*toxicity.features(pa.array(texts)))
+    row, feature, difference = toxicity.swapped(*sparse, toxicity.swap_table(toxicity.IDENTITY_PAIRS))
+    plain = [dict(zip(sparse[1][sparse[0] == i].tolist(), sparse[2][sparse[0] == i].tolist(), strict=True)) for i in range(3)]
+    turned = {f: plain[0].get(f, 0) - plain[1].get(f, 0) for f in plain[0] | plain[1]}
+    got = dict(zip(feature[row == 0].tolist(), difference[row == 0].tolist(), strict=True))
+    assert got == pytest.approx({f: d for f, d in turned.items() if d})
+
+    samples, labels = toxic_sample()
+    samples = [t.replace("women", "muslims") for t in samples]
+    sparse = toxicity.counted(*toxicity.features(pa.array(samples)))
+    neutral = toxicity.features(pa.array(["w1 w2 muslims w3", "w1 w2 christians w3"]))
+    gaps = []
+    for fairness in (0.0, 5.0):
+        p = toxicity.score_features(*neutral, *toxicity.train(*sparse, labels, fairness=fairness))
+        gaps.append(p[0] - p[1])
+    assert 0 <= gaps[1] < 0.1 * gaps[0]
+
+
 def test_toxicity_queries(spark):
     texts, labels = toxic_sample()
     docs = documents(spark, [*texts, None, ""]).withColumn("label", F.lit("x"))

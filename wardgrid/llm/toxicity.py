@@ -3,7 +3,8 @@
 A logistic model over the hashed words of the whole text, and over their first HEADS bytes, which
 gather the forms of a stem. A feature counts log(1 + occurrences), so long texts neither hide a few
 insults nor gather weight from plain words. For every labelled text with identity terms a
-counterfactual is made by swapping each term for its partner (women and men, and so on). Training
+counterfactual is made by swapping each term for its partner (women and men, and so on), with the heads
+of both: its counts are those of the swapped words, heads that other words share included. Training
 adds a penalty on the squared difference of the two scores, so that a group's mention
 by itself moves the score little; that lowers false positives on neutral mentions.
 
@@ -91,8 +92,9 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (flat[given] >> np.uint64(64 - BITS)).astype(np.int64), bounds
 
 
-def feature_of(word: str) -> int:
-    return int(features(pa.array([word]))[0][0])
+def features_of(word: str) -> list[int]:
+    """The word's feature, then those of its heads."""
+    return features(pa.array([word]))[0].tolist()
 
 
 def counted(feature: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,14 +107,41 @@ def counted(feature: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 # ---------------------------------------------------------------------------- model
 
 
-def swap_table(pairs: Sequence[tuple[str, str]]) -> dict[int, int]:
-    table: dict[int, int] = {}
+def swap_table(pairs: Sequence[tuple[str, str]]) -> dict[int, tuple[list[int], list[int]]]:
+    """For each term's own feature: all features that a swap takes away, and all that it brings."""
+    table: dict[int, tuple[list[int], list[int]]] = {}
     for a, b in pairs:
-        one, other = feature_of(a), feature_of(b)
-        table |= {one: other, other: one}
+        one, other = features_of(a), features_of(b)
+        table |= {one[0]: (one, other), other[0]: (other, one)}
     return table
 
 
+def swapped(
+    row: np.ndarray, feature: np.ndarray, value: np.ndarray, swap: dict[int, tuple[list[int], list[int]]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature, value less its value in the swapped text) wherever a swap changes the count.
+
+    Takes all features of the texts as `counted` gives them, in order of row and feature.
+    """
+    key, count = row << BITS | feature, np.rint(np.expm1(value))
+    keys, changes = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for term, (own, other) in swap.items():
+        at = np.flatnonzero(feature == term)
+        for found, sign in ((own, -1.0), (other, 1.0)):
+            for f in found:
+                keys.append(row[at] << BITS | f)
+                changes.append(sign * count[at])
+    changed, place = np.unique(np.concatenate(keys), return_inverse=True)
+    change = np.bincount(place, np.concatenate(changes), len(changed))
+    changed, change = changed[change != 0], change[change != 0]
+    before = np.zeros(len(changed))
+    if len(key):
+        at = np.minimum(np.searchsorted(key, changed), len(key) - 1)
+        before = np.where(key[at] == changed, count[at], 0.0)
+    difference = np.log1p(before) - np.log1p(np.maximum(0.0, before + change))
+    return changed >> BITS, changed & ((1 << BITS) - 1), difference
+
+
 def train(
     row: np.ndarray,
     feature: np.ndarray,
@@ -130,12 +159,14 @@ def train(
     weighted log-loss + ridge * |w|^2 + fairness * mean((score(x) - score(swapped x))^2),
 
     scores before the logistic function; the last mean is over texts with identity terms. Features
-    of fewer than least_texts texts stay at 0, but identity terms always count.
+    of fewer than least_texts texts stay at 0, but identity terms and their heads always count.
     """
     n = len(labels)
     weights = np.ones(n) if weights is None else weights / weights.mean()
     swap = swap_table(pairs)
-    terms = np.array(sorted(swap), np.int64)
+    terms = np.array(sorted({f for own, _ in swap.values() for f in own}), np.int64)
+    # The difference that a swap makes, from the counts of all features.
+    d_row, d_feature, d_value = swapped(row, feature, value, swap)
     often = np.bincount(feature, minlength=1 << BITS) >= least_texts
     often[terms] = True
     keep = often[feature]
@@ -144,13 +175,8 @@ def train(
     if len(terms):
         used = np.union1d(used, terms)
         column = np.searchsorted(used, feature)
-    # The difference that a swap makes: its terms at their own and at their partners' place.
-    marked = np.flatnonzero(np.isin(feature, terms))
-    partner = np.searchsorted(used, np.array([swap[int(f)] for f in feature[marked]], np.int64))
-    d_row = np.concatenate([row[marked], row[marked]])
-    d_column = np.concatenate([column[marked], partner])
-    d_value = np.concatenate([value[marked], -value[marked]])
-    touched = max(1, len(np.unique(row[marked])))
+    d_column = np.searchsorted(used, d_feature)
+    touched = max(1, len(np.unique(row[np.isin(feature, list(swap))])))
     w, b = np.zeros(len(used)), 0.0
     mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     base = np.clip((weights * labels).sum() / weights.sum(), 1e-6, 1 - 1e-6)
@@ -159,7 +185,7 @@ def train(
         score = np.bincount(row, w[column] * value, n) + b
         error = weights * (1 / (1 + np.exp(-np.clip(score, -40, 40))) - labels) / n
         gradient = np.bincount(column, error[row] * value, len(used)) + 2 * ridge * w
-        if len(marked) and fairness:
+        if len(d_row) and fairness:
             gap = np.bincount(d_row, w[d_column] * d_value, n)
             gradient += 2 * fairness / touched * np.bincount(d_column, gap[d_row] * d_value, len(used))
         g = np.append(gradient, error.sum())
