@@ -138,6 +138,20 @@ def test_language_gradients_match_differences():
         assert grads[name][at] == pytest.approx((losses[0] - losses[1]) / 2e-4, rel=0.02, abs=1e-5)
 
 
+def test_every_language_is_drawn_equally_often(monkeypatch):
+    drawn = []
+    plain = langid.loss_and_gradients
+    monkeypatch.setattr(langid, "loss_and_gradients", lambda net, x, y: drawn.append(y) or plain(net, x, y))
+    for languages in (3, 20):  # fewer and more than a batch has
+        drawn.clear()
+        windows = [bytes([97 + k]) * 8 for k in range(languages)]
+        net = langid.train(windows, np.arange(languages), languages, steps=40, batch=8)
+        counts = np.bincount(np.concatenate(drawn), minlength=languages)
+        assert counts.max() - counts.min() <= 1 and counts.min() >= 40
+        p = langid.document_probabilities(net, pa.array([w * 4 for w in windows], pa.binary()))
+        assert (p.argmax(axis=1) == np.arange(languages)).mean() > 0.9
+
+
 def test_language_segments_pool_whole_texts():
     net = langid.new_network(2, hidden=4)
     texts = ["abc" * 100, "", "xyz", None]

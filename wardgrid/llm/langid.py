@@ -116,7 +116,12 @@ def loss_and_gradients(net: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray)
 def train(
     windows: list[bytes], labels: np.ndarray, languages: int, steps: int = STEPS, batch: int = BATCH, hidden: int = HIDDEN, seed: int = 0
 ) -> dict[str, np.ndarray]:
-    """Adam over batches that draw each language equally often; windows are of one length."""
+    """Adam over batches that draw each language equally often; windows are of one length.
+
+    The languages' order runs on over the batches, so draws differ by one at most. Beyond `batch`
+    languages the steps grow with their number, so each is drawn about `steps` times at least.
+    """
+    steps = -(-steps * max(languages, batch) // batch)
     rng = np.random.default_rng(seed)
     net = new_network(languages, hidden, seed)
     data = np.stack([np.frombuffer(w, np.uint8) for w in windows], axis=1)
@@ -124,7 +129,7 @@ def train(
     mean = {k: np.zeros_like(v) for k, v in net.items()}
     square = {k: np.zeros_like(v) for k, v in net.items()}
     for step in range(1, steps + 1):
-        y = np.arange(batch) % languages
+        y = ((step - 1) * batch + np.arange(batch)) % languages
         chosen = np.array([rng.choice(by_language[k]) for k in y])
         _, grads = loss_and_gradients(net, data[:, chosen], y)
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads.values()))
