@@ -23,6 +23,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ STEPS = 300
 RIDGE = 5e-4
 FAIRNESS = 1.0
 LEAST_TEXTS = 6
+#: Pairs of the sample that training handles at a time.
+BLOCK = 1 << 18
 THRESHOLD = 0.3
 #: Toxic rows weigh this much more in training: a missed insult costs more than a false alarm.
 TOXIC_WEIGHT = 2.0
@@ -165,26 +168,41 @@ def train(
     weights = np.ones(n) if weights is None else weights / weights.mean()
     swap = swap_table(pairs)
     terms = np.array(sorted({f for own, _ in swap.values() for f in own}), np.int64)
-    # The difference that a swap makes, from the counts of all features.
-    d_row, d_feature, d_value = swapped(row, feature, value, swap)
+    # The difference that a swap makes, from the counts of all features of the texts that hold a term.
+    is_swapped = np.zeros(1 << BITS, bool)
+    is_swapped[list(swap)] = True
+    holds = np.zeros(n, bool)
+    holds[row[is_swapped[feature]]] = True
+    part = np.flatnonzero(holds[row])
+    d_row, d_feature, d_value = swapped(row[part].astype(np.int64), feature[part].astype(np.int64), value[part], swap)
+    touched = max(1, int(holds.sum()))
     often = np.bincount(feature, minlength=1 << BITS) >= least_texts
     often[terms] = True
-    keep = often[feature]
+    keep = np.flatnonzero(often[feature])
     row, feature, value = row[keep], feature[keep], value[keep]
-    used, column = np.unique(feature, return_inverse=True)
-    if len(terms):
-        used = np.union1d(used, terms)
-        column = np.searchsorted(used, feature)
-    d_column = np.searchsorted(used, d_feature)
-    touched = max(1, len(np.unique(row[np.isin(feature, list(swap))])))
-    w, b = np.zeros(len(used)), 0.0
+    del keep, part
+    marked = np.zeros(1 << BITS, bool)
+    marked[feature] = True
+    marked[terms] = True
+    used = np.flatnonzero(marked)
+    place = np.zeros(1 << BITS, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    column, d_column = place[feature], place[d_feature]
+    del feature, place, marked, often
     mean, square = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     base = np.clip((weights * labels).sum() / weights.sum(), 1e-6, 1 - 1e-6)
-    b = float(np.log(base / (1 - base)))
+    w, b = np.zeros(len(used)), float(np.log(base / (1 - base)))
+    cuts = range(0, len(row), BLOCK)
     for step in range(1, steps + 1):
-        score = np.bincount(row, w[column] * value, n) + b
+        score = np.full(n, b)
+        for at in cuts:  # a block at a time: no further array is as long as the sample
+            block = slice(at, at + BLOCK)
+            score += np.bincount(row[block], w[column[block]] * value[block], n)
         error = weights * (1 / (1 + np.exp(-np.clip(score, -40, 40))) - labels) / n
-        gradient = np.bincount(column, error[row] * value, len(used)) + 2 * ridge * w
+        gradient = 2 * ridge * w
+        for at in cuts:
+            block = slice(at, at + BLOCK)
+            gradient += np.bincount(column[block], error[row[block]] * value[block], len(used))
         if len(d_row) and fairness:
             gap = np.bincount(d_row, w[d_column] * d_value, n)
             gradient += 2 * fairness / touched * np.bincount(d_column, gap[d_row] * d_value, len(used))
@@ -246,14 +264,24 @@ def learn(docs: DataFrame, labels: DataFrame, may_teach: Column, rows: int = TRA
     total = found.agg(F.sum(F.length("features") / 4)).first()[0] or 0
     if total > TRAIN_WORDS:
         found = found.filter(F.pmod(F.xxhash64(F.lit("bound"), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * TRAIN_WORDS / total))
-    taken = sorted(found.collect(), key=lambda r: (r["doc_id"], len(r["features"])))
-    if len({r["label"] for r in taken}) < 2:
+    taken = found.toArrow()
+    if len(set(taken.column("label").to_pylist())) < 2:
         return None
-    feature = np.frombuffer(b"".join(r["features"] for r in taken), np.int32).astype(np.int64)
-    value = np.frombuffer(b"".join(r["counts"] for r in taken), np.float32).astype(np.float64)
-    row = np.repeat(np.arange(len(taken)), [len(r["features"]) // 4 for r in taken])
-    label = np.array([r["label"] for r in taken], np.float64)
-    return train(row, feature, value, label, np.array([r["weight"] for r in taken]), **parameters)
+    sizes = pa.compute.binary_length(taken.column("features"))
+    taken = taken.append_column("size", sizes).sort_by([("doc_id", "ascending"), ("size", "ascending")])
+    lengths = taken.column("size").to_numpy() // 4
+    label, weight = (taken.column(c).to_numpy().astype(np.float64) for c in ("label", "weight"))
+    feature = _joined(taken.column("features"), np.int32)
+    value = _joined(taken.column("counts"), np.float32)
+    del taken
+    row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    return train(row, feature, value, label, weight, **parameters)
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    """The numbers of a binary column, one row after the other."""
+    data, offsets = words.buffers(column)
+    return data[offsets[0] : offsets[-1]].view(kind)
 
 
 def _scorer(model: tuple[np.ndarray, float] | None):
