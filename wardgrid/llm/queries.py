@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import decontaminate, extract, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet
+from wardgrid.llm import chosenpath, decontaminate, extract, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet
 from wardgrid.llm.shared import read_table
 
 
@@ -53,6 +53,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_chosenpath(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosenpath.group_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_extract": op2_extract,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op13_chosenpath": op13_chosenpath,
 }
 
 ORACLE_SQL: dict[str, str] = {
