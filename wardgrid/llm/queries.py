@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardgrid.llm import chosenpath, decontaminate, extract, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet, whitening
+from wardgrid.llm import alignment, chosenpath, decontaminate, extract, jaccard, langid, mixing, neighbours, sharding, toxicity, warc, wavelet, whitening
 from wardgrid.llm.shared import read_table
 
 
@@ -53,6 +53,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark, read_table(spark, sf_dir, "embeddings"))
 
@@ -72,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": op8_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_mixing": op10_mixing,
+    "op11_alignment": op11_alignment,
     "op12_whitening": op12_whitening,
     "op13_chosenpath": op13_chosenpath,
 }
