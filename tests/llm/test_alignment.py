@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,23 +110,26 @@ def test_frequent_pairs_are_dealt_out(spark, tools, monkeypatch):
     assert sorted(map(tuple, got.collect())) == [(i, *r) for i, r in enumerate(plain(texts, tools))]
 
 
-def test_words_give_the_ids_of_whole_texts(tools):
+def test_words_give_the_ids_of_whole_texts(tools, monkeypatch):
     assert tools.by_words
-    for text in TEXTS:
+    monkeypatch.setattr(alignment, "WINDOW_BYTES", 64)
+    got = alignment.token_ids(pa.array(["skipped", *TEXTS])[1:], tools)
+    for k, text in enumerate(TEXTS):
+        a, b = (ids[bounds[k] : bounds[k + 1]].tolist() for ids, bounds in got)
         if not text:
+            assert a == b == []
             continue
-        a, b = alignment.token_ids(text, tools)
-        raw = (" " + text).encode()
         whole_a, whole_b = tools.a.encode(" " + text, add_special_tokens=False).ids, tools.b.encode(text)
-        if b"".join(tools.bytes_b[i] for i in whole_b) == raw:
-            assert a.tolist() == whole_a and b.tolist() == whole_b, text
+        if b"".join(tools.bytes_b[i] for i in whole_b) == (" " + text).encode():
+            assert a == whole_a and b == whole_b, text
         else:
-            assert len(a) == len(b) == 0
-    assert b"".join(alignment.cut(b" a b  c\n d \xc2\xa0e")) == b" a b  c\n d \xc2\xa0e"
+            assert a == b == []
+    raw = np.frombuffer(b" a b  c\n d \xc2\xa0e f", np.uint8)
+    assert alignment.cuts(raw).tolist() == [2, 8, 14]
 
 
 def test_windows_change_nothing(tools, monkeypatch):
-    a, b = alignment.token_ids(TEXTS[-1] + TEXTS[0] * 20, tools)
+    (a, _), (b, _) = alignment.token_ids(pa.array([TEXTS[-1] + TEXTS[0] * 20]), tools)
     ends = [np.cumsum(of[ids]) for of, ids in ((tools.lengths_a, a), (tools.lengths_b, b))]
     whole = alignment.common_ends(*ends)
     monkeypatch.setattr(alignment, "WINDOW", 7)

@@ -12,8 +12,8 @@ id pair is linked (task-side sums first, then one shuffle by pair); a third look
 table is broadcast when it holds at most MAX_BROADCAST_PAIRS rows, else the texts' distinct pairs are
 joined with it, partitioned by pair.
 
-Words recur, so tasks keep the ids of words they have met (a bounded table that starts anew when full). A
-text is cut before a space that follows something other than a space and comes before something other
+Words recur, so tasks keep the ids of words they have met, by 64-bit hashes (a bounded table that starts anew
+when full). A text is cut before a space that follows something other than a space and comes before something other
 than white space: there A's pattern always starts a new part, and no piece of B goes on behind such a
 space (checked when B is loaded; with other vocabularies texts are encoded whole).
 
@@ -28,7 +28,6 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +36,14 @@ from pyspark.sql import functions as F
 
 from wardgrid.llm import words
 from wardgrid.llm.shared import broadcast_if_small, is_small, stored
+from wardgrid.llm.wavelet import PartTable
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
-#: Words whose ids a task keeps.
-TABLE_WORDS = 400_000
+#: Half of two to this power parts are kept.
+TABLE_BITS = 22
+#: Bytes of texts whose words are looked up at a time.
+WINDOW_BYTES = 1 << 20
 #: Tokens whose ends are held in dictionaries at a time.
 WINDOW = 1 << 16
 #: Linked id pairs that a task adds up before it hands them on.
@@ -87,43 +89,61 @@ class Tokenizers:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.bytes_b[i] = bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
-        self.lengths_a, self.lengths_b = (_lengths(x) for x in (self.bytes_a, self.bytes_b))
+        self.spellings = tuple(map(_spellings, (self.bytes_a, self.bytes_b)))
+        self.lengths_a, self.lengths_b = (lengths for _, _, lengths in self.spellings)
         #: No piece holds a space behind something else, so words may be encoded one by one.
         self.by_words = not any(" " in p.lstrip(" ") for p in (self.b.id_to_piece(i).replace("▁", " ") for i in self.bytes_b))
-        self.clear()
+        self.table = _Table(TABLE_BITS)
+
+    def encode(self, raws: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """(A's ids, B's ids, whether both give the bytes back) of strings that begin with the space."""
+        texts = [r.decode() for r in raws]
+        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        return a, b, _gives_back(a, raws, self.spellings[0]) & _gives_back(b, raws, self.spellings[1])
+
+
+def _spellings(of: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all ids in a row, start of each id's, length of each id's)."""
+    ids = range(max(of) + 1)
+    lengths = np.array([len(of.get(i, b"")) for i in ids], np.int64)
+    data = np.frombuffer(b"".join(of.get(i, b"") for i in ids), np.uint8)
+    return data, np.cumsum(lengths) - lengths, lengths
+
+
+def _flat(runs: list[list[int]]) -> np.ndarray:
+    return np.fromiter((x for run in runs for x in run), np.uint32, sum(map(len, runs)))
+
+
+def _gives_back(ids: list[list[int]], raws: list[bytes], spellings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether the ids' bytes in a row are the string, for each of the strings."""
+    data, starts, lengths = spellings
+    flat = _flat(ids)
+    owner = np.repeat(np.arange(len(ids)), np.fromiter(map(len, ids), np.int64, len(ids)))
+    sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+    good = np.bincount(owner, lengths[flat], len(raws)).astype(np.int64) == sizes
+    flat = flat[good[owner]]
+    joined = data[words.runs(starts[flat], lengths[flat])]
+    given = np.frombuffer(b"".join(r for r, g in zip(raws, good.tolist(), strict=True) if g), np.uint8)
+    unlike = np.repeat(np.flatnonzero(good), sizes[good])[joined != given]
+    good[unlike] = False
+    return good
+
+
+class _Table(PartTable):
+    """From 64-bit hashes of parts to the ids of both tokenizers, and whether they give the part back."""
 
     def clear(self) -> None:
-        self.entries: dict[bytes, int] = {}
-        self.ids: tuple[list, list] = ([], [])
-        self.good: list[bool] = []
+        super().clear()
+        self.starts_b, self.ids_b = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.good = np.zeros(0, bool)
 
-    def encode(self, raws: list[bytes]) -> tuple[list[list[int]], list[list[int]], list[bool]]:
-        """(A's ids, B's ids, whether both give the bytes back) of strings that begin with the space."""
-        a = [x.ids for x in self.a.encode_batch_fast([r.decode() for r in raws], add_special_tokens=False)]
-        b = self.b.encode([r[1:].decode() for r in raws], num_threads=1)
-        good = [
-            b"".join(map(self.bytes_a.__getitem__, x)) == r and b"".join(map(self.bytes_b.__getitem__, y)) == r
-            for x, y, r in zip(a, b, raws, strict=True)
-        ]
-        return a, b, good
-
-    def look_up(self, parts: list[bytes]) -> list[int]:
-        """The table's entry of every part."""
-        entries = self.entries
-        new = list({p for p in parts if p not in entries})
-        if new:
-            a, b, good = self.encode(new)
-            entries.update(zip(new, range(len(self.good), len(self.good) + len(new))))
-            for held, ids in zip(self.ids, (a, b), strict=True):
-                held.extend(np.array(x, np.uint32) for x in ids)
-            self.good.extend(good)
-        return [entries[p] for p in parts]
-
-
-def _lengths(of: dict[int, bytes]) -> np.ndarray:
-    out = np.zeros(max(of) + 1, np.int64)
-    out[list(of)] = [len(v) for v in of.values()]
-    return out
+    def add_both(self, hashes: np.ndarray, ids_a: list[list[int]], ids_b: list[list[int]], good: np.ndarray) -> None:
+        self.add(hashes, ids_a)
+        lengths = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
+        self.starts_b = np.concatenate([self.starts_b, self.starts_b[-1] + np.cumsum(lengths)])
+        self.ids_b = np.concatenate([self.ids_b, _flat(ids_b)])
+        self.good = np.concatenate([self.good, good])
 
 
 @lru_cache(maxsize=2)
@@ -136,25 +156,71 @@ _BEGINS = np.ones(256, bool)
 _BEGINS[[*range(0x00, 0x21), 0xC2, 0xE1, 0xE2, 0xE3]] = False
 
 
-def cut(raw: bytes) -> list[bytes]:
-    """raw (beginning with a space) cut before every space where both tokenizers begin anew."""
-    data = np.frombuffer(raw, np.uint8)
-    space = data == 0x20
-    at = np.flatnonzero(space[1:-1] & ~space[:-2] & _BEGINS[data[2:]]) + 1
-    edges = [0, *at.tolist(), len(raw)]
-    return [raw[i:j] for i, j in pairwise(edges)]
-
-
-def token_ids(text: str | None, tools: Tokenizers) -> tuple[np.ndarray, np.ndarray]:
-    """A's and B's ids of a text; none where the text has no tokens by the rule above."""
-    none = np.zeros(0, np.uint32)
-    if not text:
-        return none, none
-    raw = b" " + text.encode()
-    entries = tools.look_up(cut(raw) if tools.by_words else [raw])
-    if not all(map(tools.good.__getitem__, entries)):
-        return none, none
-    return tuple(np.concatenate([held[e] for e in entries]) for held in tools.ids)
+def cuts(raw: np.ndarray) -> np.ndarray:
+    """Places of the spaces in raw before which both tokenizers begin anew."""
+    space = raw == 0x20
+    return np.flatnonzero(space[1:-1] & ~space[:-2] & _BEGINS[raw[2:]]) + 1
+
+
+def _windows(edges: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Runs of edges that span about `limit` bytes, one part at least."""
+    at = 0
+    while at < len(edges) - 1:
+        end = int(np.searchsorted(edges, edges[at] + limit, "right")) - 1
+        end = max(end, at + 1)
+        yield edges[at : end + 1]
+        at = end
+
+
+def _hashes(raw: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the parts of raw between the edges."""
+    text = raw[edges[0] : edges[-1]]
+    up, down = words._powers(max(WINDOW_BYTES, 1 << (len(text) - 1).bit_length()))
+    total = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum((text.astype(np.uint64) + np.uint64(1)) * up[: len(text)], out=total[1:])
+    at = edges - edges[0]
+    length = np.diff(edges).astype(np.uint64)
+    return words.mix((total[at[1:]] - total[at[:-1]]) * down[at[:-1]] + length * np.uint64(0xD6E8FEB86659FD93))
+
+
+def token_ids(texts: pa.Array, tools: Tokenizers) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(ids, offsets per text) for A and B; no ids for texts that have no tokens by the rule above."""
+    data, offsets = words.buffers(texts)
+    n = len(offsets) - 1
+    data, offsets = data[offsets[0] : offsets[-1]], offsets - offsets[0]
+    starts = offsets + np.arange(n + 1)
+    raw = np.full(int(starts[-1]), 0x20, np.uint8)
+    behind = np.ones(len(raw), bool)
+    behind[starts[:-1]] = False
+    raw[behind] = data
+    edges = np.union1d(starts, cuts(raw)) if tools.by_words else starts
+    good = np.diff(offsets) > 0
+    table = tools.table
+    found: list[list[np.ndarray]] = [[], []]
+    lengths = np.zeros((2, n), np.int64)
+    for window in _windows(edges, WINDOW_BYTES):
+        hashes = _hashes(raw, window)
+        if len(table) > 1 << (table.bits - 1):
+            table.clear()
+        entry = table.find(hashes)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            fresh, first = np.unique(hashes[new], return_index=True)
+            parts = [raw[window[i] : window[i + 1]].tobytes() for i in new[first]]
+            table.add_both(fresh, *tools.encode(parts))
+            entry[new] = table.find(hashes[new])
+        text = np.searchsorted(starts, window[:-1], "right") - 1
+        good[text[~table.good[entry]]] = False
+        for k, (begins, ids) in enumerate(((table.starts, table.ids), (table.starts_b, table.ids_b))):
+            length = begins[entry + 1] - begins[entry]
+            found[k].append(ids[words.runs(begins[entry], length)])
+            lengths[k] += np.bincount(text, length, n).astype(np.int64)
+    out = []
+    for k in range(2):
+        ids = np.concatenate(found[k]) if found[k] else np.zeros(0, np.uint32)
+        kept = lengths[k] * good
+        out.append((ids[np.repeat(good, lengths[k])], np.concatenate([[0], np.cumsum(kept)])))
+    return out
 
 
 # ---------------------------------------------------------------------------- groups and links
@@ -229,21 +295,36 @@ def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b
 # ---------------------------------------------------------------------------- Spark
 
 
+def _kind(lengths: tuple[np.ndarray, np.ndarray]) -> type:
+    """Of stored ids."""
+    return np.uint16 if max(map(len, lengths)) <= 1 << 16 else np.uint32
+
+
+def _binaries(flat: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """A binary column of the numbers between the bounds."""
+    ends = pa.array(bounds * flat.itemsize, pa.int32()).buffers()[1]
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, ends, pa.py_buffer(flat.tobytes())])
+
+
 def _encode(path_a: str, path_b: str):
+    """Ids of both sides, and a bit per token: whether it closes a group."""
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tools = _tokenizers(path_a, path_b)
+        lengths = tools.lengths_a, tools.lengths_b
+        kind = _kind(lengths)
         for batch in batches:
             for part in words.chunks(batch, "text"):
-                rows = []
-                for text in part.column("text").to_pylist():
-                    if len(tools.good) > TABLE_WORDS:
-                        tools.clear()
-                    ids_a, ids_b = token_ids(text, tools)
-                    kind = np.uint16 if max(len(tools.lengths_a), len(tools.lengths_b)) <= 1 << 16 else np.uint32
-                    rows.append((ids_a.astype(kind).tobytes(), ids_b.astype(kind).tobytes()))
-                columns = [pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)]
-                width = pa.array([kind().itemsize] * len(rows), pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), width, *columns], names=["doc_id", "width", "a", "b"])
+                sides = [(ids.astype(kind), bounds) for ids, bounds in token_ids(part.column("text"), tools)]
+                closing = ([], [])
+                for i in range(len(part)):
+                    ends = [np.cumsum(of[ids[bounds[i] : bounds[i + 1]]]) for of, (ids, bounds) in zip(lengths, sides, strict=True)]
+                    for marks, cut, end in zip(closing, common_ends(*ends), ends, strict=True):
+                        last = np.zeros(len(end), bool)
+                        last[cut - 1] = True
+                        marks.append(np.packbits(last).tobytes())
+                columns = [_binaries(*side) for side in sides] + [pa.array(marks, pa.binary()) for marks in closing]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "a", "b", "last_a", "last_b"])
 
     return encode
 
@@ -251,18 +332,19 @@ def _encode(path_a: str, path_b: str):
 class _Aligned:
     """A stored text: ids, common ends and links."""
 
-    def __init__(self, a: bytes, b: bytes, width: int, lengths: tuple[np.ndarray, np.ndarray]) -> None:
-        kind = np.uint16 if width == 2 else np.uint32
-        self.a, self.b = np.frombuffer(a, kind), np.frombuffer(b, kind)
-        ends_a, ends_b = np.cumsum(lengths[0][self.a]), np.cumsum(lengths[1][self.b])
-        self.cuts_a, self.cuts_b = common_ends(ends_a, ends_b)
-        left, right = links(self.cuts_a, self.cuts_b, ends_a, ends_b)
+    def __init__(self, row: dict, lengths: tuple[np.ndarray, np.ndarray]) -> None:
+        self.a, self.b = (np.frombuffer(row[x], _kind(lengths)) for x in "ab")
+        self.cuts_a, self.cuts_b = (
+            np.flatnonzero(np.unpackbits(np.frombuffer(row[f"last_{x}"], np.uint8), count=len(ids))) + 1
+            for x, ids in (("a", self.a), ("b", self.b))
+        )
+        left, right = links(self.cuts_a, self.cuts_b, np.cumsum(lengths[0][self.a]), np.cumsum(lengths[1][self.b]))
         self.pairs = self.a[left].astype(np.int64) << 32 | self.b[right]
 
 
 def _aligned(batch: pa.RecordBatch, lengths: tuple[np.ndarray, np.ndarray]) -> Iterator[_Aligned]:
-    for row in batch.select(["a", "b", "width"]).to_pylist():
-        yield _Aligned(row["a"], row["b"], row["width"], lengths)
+    for row in batch.select(["a", "b", "last_a", "last_b"]).to_pylist():
+        yield _Aligned(row, lengths)
 
 
 def _pair_counts(lengths):
@@ -377,7 +459,7 @@ def align_documents(
     path_a, path_b = path_a or tokenizer_path(TOKENIZER_A), path_b or tokenizer_path(TOKENIZER_B)
     tools = Tokenizers(path_a, path_b)
     lengths = spark.sparkContext.broadcast((tools.lengths_a, tools.lengths_b))
-    encoded = docs.select("doc_id", "text").mapInArrow(_encode(path_a, path_b), "doc_id long, width int, a binary, b binary")
+    encoded = docs.select("doc_id", "text").mapInArrow(_encode(path_a, path_b), "doc_id long, a binary, b binary, last_a binary, last_b binary")
     ids = stored(spark, encoded, "alignment-ids")
     counted = ids.filter(F.length("a") > 0).mapInArrow(_pair_counts(lengths), "pair long, texts long")
     counts = stored(spark, counted.groupBy("pair").agg(F.sum("texts").alias("texts")), "alignment-counts")
