@@ -110,7 +110,8 @@ def test_repeated_ids_nulls_extra_columns(spark):
 
 
 def test_long_text_and_hot_group(spark, monkeypatch):
-    monkeypatch.setattr(chosenpath, "HOT", (5,))
+    monkeypatch.setattr(chosenpath, "HOT", 5)
+    monkeypatch.setattr(chosenpath, "MAX_BROADCAST_PAIRS", 0)
     monkeypatch.setattr(chosenpath, "PART", 4)
     long = " ".join(f"w{i % 9973}x{i}" for i in range(120_000))
     rows = [(i, f"{long} {i}") for i in range(3)]

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from wardgrid.llm import words
 from wardgrid.llm.components import components
 from wardgrid.llm.jaccard import shingle_sets
-from wardgrid.llm.shared import broadcast_if_small, is_small, stored
+from wardgrid.llm.shared import MAX_BROADCAST_ROWS, broadcast_if_small, stored
 
 WORDS = 3
 PERCENT = 85
@@ -58,8 +58,10 @@ LEVELS = 6
 ROUNDS = 8
 #: Pairs that share a class on one side are verified in parts of this many.
 PART = 1024
-#: Keys of more rows than this are hot; the first limit that leaves few enough hot keys holds.
-HOT = (2_000, 200_000, 20_000_000)
+#: Keys of more rows than this are hot, as long as there are so many rows that hot keys may be broadcast.
+HOT = 2_000
+#: Classes in up to this many pairs are picked by broadcast (two names of 16 bytes a pair).
+MAX_BROADCAST_PAIRS = 250_000
 
 _SEEDS = words.mix(np.arange(1, POSITIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS = words.mix(_SEEDS) | np.uint64(1)
@@ -243,30 +245,29 @@ def _texts_of_sets(size: int):
 # ---------------------------------------------------------------------------- Spark
 
 
-def _meet(rows: DataFrame, named: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """rows with the columns of their row in `named` (key, size, ..); size: how many rows have the key.
+def _meet(rows: DataFrame, named: DataFrame, key: str, total: int, how: str = "inner") -> DataFrame:
+    """rows with the columns of their row in `named` (key, size, ..); size: how many of the `total` rows have the key.
 
     Rows of the most frequent keys meet it by broadcast, so that no task holds all rows of a key.
     """
-    for limit in HOT:
-        hot = named.filter(F.col("size") > limit)
-        if is_small(hot):
-            break
-    else:
-        return rows.join(named, key, how)
+    # So many rows a key that the hot keys are few enough by count.
+    limit = max(HOT, total // MAX_BROADCAST_ROWS)
+    hot = named.filter(F.col("size") > limit)
     if hot.isEmpty():
         return rows.join(named, key, how)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(named.filter(F.col("size") <= limit), key, how)
     return cold.unionByName(rows.join(F.broadcast(hot), key))
 
 
-def _both_sides(pairs: DataFrame, side: DataFrame) -> DataFrame:
-    """Pairs (a, b) with the columns of `side` (set, ..) for both, named .._a and .._b.
+def _both_sides(pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
+    """The `total` pairs (a, b) with the columns of `side` (set, ..) for both, named .._a and .._b.
 
     The more frequent class of a pair becomes a; a class in very many pairs is dealt out in parts.
     """
     several = pairs.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").count().filter(F.col("count") > PART)
-    several = broadcast_if_small(several.select("set", F.ceil(F.col("count") / PART).cast("int").alias("parts")))
+    several = several.select("set", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    if 2 * total // PART <= MAX_BROADCAST_ROWS:  # there cannot be more
+        several = F.broadcast(several)
     for x in "ab":
         pairs = pairs.join(several.select(F.col("set").alias(x), F.col("parts").alias(f"parts_{x}")), x, "left")
     pairs = pairs.na.fill(1, ["parts_a", "parts_b"])
@@ -302,11 +303,13 @@ class _Join:
         links = same.join(same.groupBy("doc_id").agg(F.min("set").alias("a")), "doc_id")
         self.links = stored(spark, links.select("a", F.col("set").alias("b")).filter("a != b").distinct(), "chosenpath-links")
         self.tried = self.links.limit(0)
-        self.number = 0
+        self.number, self.placed = 0, None
 
     def parts(self) -> DataFrame:
-        """(set, part) of every linked class."""
-        return components(self.spark, self.links).select(F.col("node").alias("set"), F.col("component").alias("part"))
+        """(set, part) of every linked class; found again only after new links."""
+        if self.placed is None:
+            self.placed = components(self.spark, self.links).select(F.col("node").alias("set"), F.col("component").alias("part"))
+        return self.placed
 
     def check(self, pairs: DataFrame, agreeing: bool) -> int:
         """Verifies the pairs (a, b) not tried yet; returns how many links were new."""
@@ -316,22 +319,31 @@ class _Join:
             ordered = ordered.join(self.tried, ["a", "b"], "left_anti")
         ordered = stored(self.spark, ordered, f"chosenpath-pairs-{self.number}")
         self.tried = ordered if self.number == 1 else self.tried.unionAll(ordered)
-        if not agreeing:
-            both = _both_sides(ordered, self.classes.select("set", "tokens"))
+        total = ordered.count()
+        if total and not agreeing:
+            tokens = self._of(ordered, self.classes.select("set", "tokens"), total)
+            both = _both_sides(ordered, tokens, total)
             both = both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_agreeing(self.percent), "a binary, b binary")
             ordered = stored(self.spark, both, f"chosenpath-agreeing-{self.number}")
-        found = stored(self.spark, self._whole(ordered), f"chosenpath-links-{self.number}")
-        self.links = self.links.unionAll(found)
+            total = ordered.count()
+        if not total:
+            return 0
+        found = stored(self.spark, self._whole(ordered, total), f"chosenpath-links-{self.number}")
+        self.links, self.placed = self.links.unionAll(found), None
         return found.count()
 
-    def _whole(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose whole sets reach the similarity."""
+    def _of(self, pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
+        """The rows of `side` whose set is in one of the pairs."""
         sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
-        wanted = self.classes.select("set", F.col("rep").alias("doc_id")).join(sets, "set")
-        rows = self.texts.join(broadcast_if_small(wanted), "doc_id")
+        return side.join(F.broadcast(sets) if total <= MAX_BROADCAST_PAIRS else sets, "set", "left_semi")
+
+    def _whole(self, pairs: DataFrame, total: int) -> DataFrame:
+        """The pairs whose whole sets reach the similarity."""
+        wanted = self._of(pairs, self.classes.select("set", F.col("rep").alias("doc_id")), total)
+        rows = self.texts.join(F.broadcast(wanted) if total <= MAX_BROADCAST_PAIRS else wanted, "doc_id")
         texts = rows.select("set", "text").mapInArrow(_texts_of_sets(self.size), "set binary, text string")
         texts = stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"])
-        whole = _both_sides(pairs, texts).select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
+        whole = _both_sides(pairs, texts, total).select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
         return whole.mapInArrow(_verify(self.size, self.percent), "a binary, b binary")
 
     def _near(self, pairs: DataFrame) -> DataFrame:
@@ -356,7 +368,7 @@ class _Join:
         )
         nodes = nodes.filter("parts > 1").select("node", "size", F.col("largest.part").alias("largest"), F.col("largest.rows").alias("rows"))
         nodes = stored(self.spark, nodes, f"chosenpath-nodes-{self.number}")
-        return stored(self.spark, _meet(placed, nodes, "node"), f"chosenpath-open-{self.number}"), nodes
+        return stored(self.spark, _meet(placed, nodes, "node", rows.count()), f"chosenpath-open-{self.number}"), nodes
 
     def stars(self, rows: DataFrame, nodes: DataFrame) -> DataFrame:
         """Pairs of each class outside the largest component with one class of it, another one each round."""
@@ -364,7 +376,7 @@ class _Join:
         centers = rows.filter("part = largest").groupBy("node").agg(F.min(turn).alias("center"))
         sized = centers.join(nodes.select("node", "size"), "node").select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b"))
         outside = rows.filter("part != largest").select("node", F.col("set").alias("a"), F.col("n").alias("n_a"))
-        return self._near(_meet(outside, sized, "node"))
+        return self._near(_meet(outside, sized, "node", rows.count()))
 
     def exhaust(self, rows: DataFrame) -> DataFrame:
         """All likely pairs of different components in small nodes."""
@@ -419,11 +431,12 @@ def link_documents(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components): doc_id, n, set of every row; set, rep of every class; set, part of linked classes."""
     join = _Join(spark, docs, size, percent, {"small": small, "block": block})
-    members = join.roots(trees_for(recall, percent))
+    trees = trees_for(recall, percent)
+    members = join.roots(trees)
     center = F.min(F.struct("set", "n"))
     nodes = members.groupBy("node").agg(F.count("*").alias("size"), center.alias("center")).filter("size > 1")
     nodes = stored(spark, nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b")), "chosenpath-roots")
-    rows = stored(spark, _meet(members, nodes, "node"), "chosenpath-members")
+    rows = stored(spark, _meet(members, nodes, "node", join.classes.count() * BRANCHES * trees), "chosenpath-members")
     join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")), agreeing=False)
     rows = rows.select("node", "set", "n")
     for _ in range(ROUNDS):
@@ -457,7 +470,7 @@ def group_documents(spark: SparkSession, docs: DataFrame, size: int = WORDS, per
     named = placed.join(least, "part").select("set", "rep", "component_id", "sets")
     full = rows.filter("n > 0 AND doc_id IS NOT NULL")
     several = full.groupBy("set").agg(F.count("*").alias("size")).join(named, "set").filter("size > 1 OR sets > 1")
-    joined = _meet(full, several.select("set", "size", "component_id"), "set", "left")
+    joined = _meet(full, several.select("set", "size", "component_id"), "set", rows.count(), "left")
     joined = joined.select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
     other = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return joined.unionAll(other).select(

@@ -8,18 +8,26 @@ from pyspark.sql import functions as F
 from wardgrid.llm.shared import stored
 
 MAX_ROUNDS = 60
+#: Up to this many links, rounds are dealt over FEW_TASKS tasks by node instead of Spark's partitions.
+FEW_LINKS = 200_000
+FEW_TASKS = 8
 
 
-def _large_star(links: DataFrame) -> DataFrame:
-    both = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _large_star(links: DataFrame, few: bool) -> DataFrame:
+    both = _dealt(links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), few)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).filter("a != b")
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, few: bool) -> DataFrame:
     least = links.groupBy("a").agg(F.min("b").alias("low"))
     moved = links.join(least, "a").filter("b != low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-    return moved.unionAll(least.select("a", F.col("low").alias("b"))).distinct()
+    return _dealt(moved.unionAll(least.select("a", F.col("low").alias("b"))), few).distinct()
+
+
+def _dealt(links: DataFrame, few: bool) -> DataFrame:
+    """Few links lie by node in few tasks, which serves all steps of a round; many are left to Spark."""
+    return links.repartition(FEW_TASKS, "a") if few else links
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -27,11 +35,12 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
 
     Links of a node to itself count for nothing. Each round is written to the shared folder.
     """
-    links = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = stored(spark, links, "components-0")
+    links = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links = stored(spark, links.distinct(), "components-0")
+    few = links.count() <= FEW_LINKS
     before = None
     for number in range(1, MAX_ROUNDS):
-        links = stored(spark, _small_star(_large_star(links).distinct()), f"components-{number}")
+        links = stored(spark, _small_star(_dealt(_large_star(links, few), few).distinct(), few), f"components-{number}")
         state = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == before:
             roots = links.select(F.col("b").alias("node")).distinct()
