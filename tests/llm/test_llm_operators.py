@@ -417,3 +417,22 @@ def test_mixing_budgets(spark):
     words_out = mixed.agg(F.sum(mixing.word_count(F.col("text")))).first()[0]
     assert words_out == sum(r["taken"] for r in rows)
     assert mixing.mix(spark, docs.limit(0)).count() == 0 and mixing.mix_documents(spark, docs.limit(0)).count() == 0
+
+
+W, V, X, Y = (" ".join(f"{letter}{i}" for i in range(60)) for letter in "wvxy")
+
+
+def test_jaccard_rows_of_one_id_link_their_texts(spark):
+    rows = [(1, W), (5, W), (5, V), (9, V + " v60"), (7, X)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard.group_documents(spark, docs).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (7, 7), (9, 1)]
+
+
+def test_near_copies_keep_unlike_texts_of_one_id(spark):
+    rows = [(1, W), (5, W), (5, V), (7, X), (7, Y), (7, Y), (8, Y + " y60"), (None, W), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, _key int")
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.drop_near_copies(spark, docs).collect()), key=str)
+    assert got == sorted([(1, W), (5, V), (7, X), (7, Y), (None, W), (None, None), (9, "")], key=str)
+    assert jaccard.drop_near_copies(spark, docs).columns == ["doc_id", "text", "_key"]
+    assert jaccard.drop_near_copies(spark, docs.limit(0)).collect() == []

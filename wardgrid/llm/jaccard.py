@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardgrid.llm import words
@@ -250,7 +250,13 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     # Copies: documents whose set has a smaller doc_id.
     known = rows.filter("n > 0 AND doc_id IS NOT NULL")
     several = known.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1")
-    copies = known.join(several, "digest").filter("doc_id > rep").select(F.col("doc_id").alias("doc")).distinct()
+    # Ids with several sets: rows of one id are one node, so its classes are linked and none of its rows leaves.
+    name = F.xxhash64("digest")
+    mixed = known.groupBy("doc_id").agg(F.min(name).alias("least"), F.max(name).alias("most")).filter("least != most").select("doc_id")
+    mixed = broadcast_if_small(stored(spark, mixed, "jaccard-mixed"), MAX_BROADCAST_IDS)
+    same = known.join(mixed, "doc_id").join(several.select("digest", "rep"), "digest", "left").filter("rep != doc_id")
+    same = same.select(F.col("rep").alias("a"), F.col("doc_id").alias("b")).distinct()
+    copies = known.join(several, "digest").filter("doc_id > rep").join(mixed, "doc_id", "left_anti").select(F.col("doc_id").alias("doc")).distinct()
     prefixes = texts.filter("doc_id IS NOT NULL").mapInArrow(_first_prefixes(levels, size, percent), "doc long, n long, tokens array<long>")
     copies = broadcast_if_small(copies, MAX_BROADCAST_IDS)
     prefixes = stored(spark, prefixes.filter(F.size("tokens") > 0).join(copies, "doc", "left_anti"), "jaccard-prefixes")
@@ -279,7 +285,7 @@ def join(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int =
     pairs = buckets.filter((F.col("doc") != F.col("center.doc")) & meet)
     pairs = pairs.select(F.least("doc", "center.doc").alias("a"), F.greatest("doc", "center.doc").alias("b"))
     pairs = stored(spark, pairs.distinct(), "jaccard-pairs-0")
-    links = stored(spark, _linked(spark, pairs, cand, size, percent), "jaccard-links-0")
+    links = stored(spark, _linked(spark, pairs, cand, size, percent).unionAll(same), "jaccard-links-0")
     tried = pairs
     for number in (1, 2):
         found = components(spark, links)
@@ -331,16 +337,32 @@ def group_documents(spark: SparkSession, docs: DataFrame, size: int = WORDS, per
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """docs with one document of each group, that with the smallest doc_id; empty texts all stay.
+    """docs with one row of each group of near copies, that with the smallest doc_id; empty texts all stay.
 
-    Rows with a null doc_id stay unless their text equals that of a document with an id... they
-    are compared by id only, so they all stay. Of rows that repeat a kept doc_id one stays.
+    Rows are compared by their own texts: rows that repeat a doc_id leave only as copies of a kept row.
+    Rows with a null doc_id all stay.
     """
-    grouped = stored(spark, group_documents(spark, docs, size, percent).filter("doc_id IS NOT NULL"), "jaccard-groups")
-    dropped = grouped.filter("doc_id != component_id").select("doc_id").distinct()
-    repeated = grouped.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    dropped, repeated = broadcast_if_small(dropped, MAX_BROADCAST_IDS), broadcast_if_small(repeated)
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    once = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(first)).filter("_row = 1").drop("_row")
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
+    several = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    several = stored(spark, several, "jaccard-repeated")
+    if several.isEmpty():
+        grouped = stored(spark, group_documents(spark, docs, size, percent), "jaccard-groups")
+        dropped = grouped.filter("doc_id != component_id").select("doc_id")
+        return docs.join(broadcast_if_small(dropped, MAX_BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
+    # Rows that repeat an id get keys of their own, beyond all ids; a written table keeps them the same.
+    several = broadcast_if_small(several, MAX_BROADCAST_IDS)
+    first = docs.agg(F.max("doc_id")).first()[0] + 1
+    names = [f"_c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    renamed = docs.toDF(*names)
+    marked = several.withColumnRenamed("doc_id", doc_id)
+    repeated = renamed.join(marked, doc_id, "left_semi").withColumn("_key", F.lit(first) + F.monotonically_increasing_id())
+    rows = renamed.join(marked, doc_id, "left_anti").withColumn("_key", F.col(doc_id)).unionByName(stored(spark, repeated, "jaccard-repeated-rows"))
+    grouped = group_documents(spark, rows.select(F.col("_key").alias("doc_id"), F.col(text).alias("text")), size, percent)
+    grouped = stored(spark, grouped.filter("doc_id IS NOT NULL").withColumnRenamed("doc_id", "_key"), "jaccard-groups")
+    owners = grouped.join(rows.select("_key", F.col(doc_id).alias("owner")), "_key")
+    kept = owners.groupBy("component_id").agg(F.min(F.struct("owner", "_key")).alias("kept"))
+    kept = kept.filter("component_id != kept._key").select("component_id", F.col("kept._key").alias("kept"))
+    dropped = grouped.join(broadcast_if_small(kept, MAX_BROADCAST_IDS), "component_id", "left")
+    dropped = dropped.filter(F.col("_key") != F.coalesce("kept", "component_id")).select("_key")
+    left = rows.join(broadcast_if_small(dropped, MAX_BROADCAST_IDS), "_key", "left_anti")
+    return left.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
