@@ -82,3 +82,27 @@ def test_a_cell_that_comes_twice_fails_in_both_modes(spark, make_grid):
     for duplicates in ("error", "multiply"):
         with pytest.raises(Exception, match="more than one cell for one organisation"):
             load_sitreps(spark, "2019-20", grid.unionAll(again), duplicates=duplicates).collect()
+
+
+def test_an_unreadable_date_fails(spark, make_grid):
+    sheets = generic_sheets()
+    sheets["G&A beds"][14][8] = "3rd Dec"
+    grid = make_grid("2019-20", sheets)
+    with pytest.raises(ValueError, match="'G&A beds' has no readable date in column 8: '3rd Dec'"):
+        load_sitreps(spark, "2019-20", grid)
+    assert D2 not in {d for c, _, d in by_key(load_sitreps(spark, "2019-20", grid, strict=False)) if c == "B1"}
+    sheets = generic_sheets() | {"A&E Closures": worksheet([S1, "3 Decembr"], {3: ["R", "A1", "Alpha", 1, 2]})}
+    with pytest.raises(ValueError, match="'A&E Closures' has no readable date in column 6: '3 Decembr'"):
+        load_sitreps(spark, "2019-20", make_grid("2019-20", sheets))
+
+
+def test_load_runs_few_jobs_and_builds_no_arrays(spark, make_grid):
+    grid = make_grid("2019-20", generic_sheets())
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("load-jobs", "eager jobs of a load")
+    loaded = load_sitreps(spark, "2019-20", grid)
+    jobs = len(tracker.getJobIdsForGroup("load-jobs"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 10
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "Generate" not in plan and "collect_list" not in plan
