@@ -2,6 +2,7 @@
 
 from wardgrid.layouts import LABELS, LAYOUTS, WINTERS
 from wardgrid.plans.refresh import refresh_snapshots
+from wardgrid.plans.seasons import load_winters
 from wardgrid.plans.winter import load_sitreps, load_trusts
 from wardgrid.session import build_session
 from wardgrid.sources.snapshots import read_snapshot, write_snapshot
@@ -13,6 +14,7 @@ __all__ = [
     "build_session",
     "load_sitreps",
     "load_trusts",
+    "load_winters",
     "read_snapshot",
     "refresh_snapshots",
     "write_snapshot",

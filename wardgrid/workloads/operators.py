@@ -14,6 +14,7 @@ from wardgrid.functions.labels import (
 )
 from wardgrid.functions.numbers import null_if_dash, safe_ratio, sum_or_zero, to_double, to_int
 from wardgrid.layouts import GA, THREE_KEYS, Layout, Sheet
+from wardgrid.operators.datebook import attach_dates, date_rejects
 from wardgrid.operators.grid import (
     band_ordinal,
     densify,
@@ -341,13 +342,17 @@ def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", F.expr(DATE_TEXT).alias("raw"))
 
 
+def read_date_text(range_day: str = "first"):
+    return lambda text: report_date(text, ("serial", "text"), DATE_TEXT_OVERRIDES, range_day)
+
+
 def date_text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return date_texts(spark, sf_dir).select(
-        "o_orderkey",
-        "raw",
-        report_date(F.col("raw"), ("serial", "text"), DATE_TEXT_OVERRIDES).alias("report_date"),
-        report_date(F.col("raw"), ("serial", "text"), DATE_TEXT_OVERRIDES, "last").alias("last_day"),
-    )
+    return attach_dates(date_texts(spark, sf_dir), "raw", {"report_date": read_date_text(), "last_day": read_date_text("last")})
+
+
+def unreadable_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that are no date, and how many orders hold each."""
+    return date_rejects(date_texts(spark, sf_dir), "raw", read_date_text())
 
 
 DATE_TEXTS_SQL = """
@@ -377,6 +382,12 @@ FROM ({DATE_TEXTS_SQL})
 """
 
 
+DATE_REJECTS_SQL = f"""
+SELECT raw, count(*) AS n_rows FROM ({DATE_TEXT_SQL})
+WHERE report_date IS NULL AND trim(raw) <> '' GROUP BY raw
+"""
+
+
 def date_range_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ranges in any text, first match only."""
     return date_texts(spark, sf_dir).select(
@@ -794,6 +805,7 @@ QUERIES = {
     ),
     "excel_serial_date": (excel_serial_date, EXCEL_SERIAL_SQL),
     "date_text_normalise": (date_text_normalise, DATE_TEXT_SQL),
+    "date_rejects": (unreadable_dates, DATE_REJECTS_SQL),
     "date_range_collapse": (date_range_collapse, DATE_RANGE_SQL),
     "cast_trunc": (cast_trunc, CAST_SQL),
     "nullif_sentinel": (

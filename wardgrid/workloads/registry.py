@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardgrid.layouts import WINTERS
 from wardgrid.workloads.operators import QUERIES
-from wardgrid.workloads.winters import load_winter, winter_sql
+from wardgrid.workloads.winters import all_winters_sql, load_all_winters, load_winter, winter_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def _key(winter: str) -> str:
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {name: run for name, (run, _) in QUERIES.items()}
     found |= {_key(w): partial(load_winter, winter=w) for w in WINTERS}
+    found["load_all_winters"] = load_all_winters
     found |= {
         f"{_key(w)}_by_joins": partial(load_winter, winter=w, duplicates="multiply")
         for w in ("2019-20", "2021-22", "2022-23")
@@ -31,5 +32,6 @@ def queries() -> dict[str, Query]:
 def oracle_sql() -> dict[str, str]:
     found = {name: sql for name, (_, sql) in QUERIES.items()}
     found |= {_key(w): winter_sql(w) for w in WINTERS}
+    found["load_all_winters"] = all_winters_sql()
     found |= {f"{_key(w)}_by_joins": winter_sql(w) for w in ("2019-20", "2021-22", "2022-23")}
     return found
