@@ -436,3 +436,14 @@ def test_near_copies_keep_unlike_texts_of_one_id(spark):
     assert got == sorted([(1, W), (5, V), (7, X), (7, Y), (None, W), (None, None), (9, "")], key=str)
     assert jaccard.drop_near_copies(spark, docs).columns == ["doc_id", "text", "_key"]
     assert jaccard.drop_near_copies(spark, docs.limit(0)).collect() == []
+
+
+def test_bounds_hold_for_wide_vectors():
+    draw = np.random.default_rng(8)
+    x = np.rint(draw.uniform(100, 127, (40, 8192)))
+    x[:, 0] = 127
+    y = x + (np.arange(8192) % 1000 == 1) * draw.integers(-3, 1, (40, 1))
+    queries, candidates = (neighbours.Block(np.arange(40), v) for v in (x, y))
+    lower, upper = neighbours.tile_bounds(queries, candidates)
+    exact = np.sqrt(((x[:, None, :] - y[None, :, :]) ** 2).sum(axis=2))
+    assert (lower <= exact).all() and (exact <= upper).all()

@@ -1,7 +1,7 @@
 """Nearest neighbours by a block matrix join on int8 tiles with error bounds; the result is exact.
 
 Vectors are quantised to int8, each with its own scale, and the length of what is lost is kept. A
-tile multiplies a block of queries with a block of candidates (int8 values, exact in float32), which
+tile multiplies a block of queries with a block of candidates (int8 values, in slices that float32 adds exactly), which
 gives every distance up to the two vectors' losses: a lower and an upper bound. Pairs whose lower
 bound is above the query's tenth best so far are dropped; the others are computed from the original
 vectors in double precision and merged into a heap per query. Each task returns its heaps and Spark
@@ -31,6 +31,8 @@ from wardgrid.llm.shared import stored
 NEAREST = 10
 GROUP = 4096
 TILE = 2048
+#: Components multiplied at a time: 127 * 127 * SLICE is below 2^24, so float32 sums are exact.
+SLICE = 1024
 
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,9 +58,12 @@ class Block:
 
 def tile_bounds(queries: Block, candidates: Block) -> tuple[np.ndarray, np.ndarray]:
     """(lower, upper) bounds of all distances of a tile."""
-    products = queries.values.astype(np.float32) @ candidates.values.astype(np.float32).T
+    products = np.zeros((len(queries), len(candidates)))
+    for at in range(0, queries.values.shape[1], SLICE):
+        part = slice(at, at + SLICE)
+        products += queries.values[:, part].astype(np.float32) @ candidates.values[:, part].astype(np.float32).T
     squares = queries.square[:, None] + candidates.square[None, :]
-    near = squares - 2 * products.astype(np.float64) * queries.scale[:, None] * candidates.scale[None, :]
+    near = squares - 2 * products * queries.scale[:, None] * candidates.scale[None, :]
     distance = np.sqrt(np.maximum(near, 0))
     # Rounding of the sums above: far below this share of the vectors' lengths.
     slack = queries.loss[:, None] + candidates.loss[None, :] + 1e-7 * np.sqrt(squares)
