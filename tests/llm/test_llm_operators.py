@@ -255,6 +255,25 @@ def test_leaks_are_found_and_clean_texts_left(spark):
     assert decontaminate.find_leaks(documents(spark, texts), bench.limit(0)).count() == 0
 
 
+def test_leaks_do_not_depend_on_the_parts_of_the_index(spark):
+    common = " ".join(f"c{i}" for i in range(20))
+    items = [(i, f"{common} " + " ".join(f"o{i}x{k}" for k in range(10 + i % 7))) for i in range(40)]
+    items += [(5, items[6][1]), (6, items[6][1]), (6, items[6][1]), (None, items[7][1]), (50, " "), (51, common[:40])]
+    filler = " ".join(f"f{i}" for i in range(90))
+    texts = [common, f"{filler} {common} {filler}", None, "", *[f"{filler} {items[i][1]} {filler}" for i in (0, 6, 39)], filler * 9]
+    texts += [" ".join(w for k, w in enumerate(items[9][1].split()) if k % 6), texts[4]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, texts)
+    docs = docs.unionAll(docs.filter("doc_id = 5").withColumn("doc_id", F.lit(None).cast("long")))
+    found = [sorted(map(tuple, decontaminate.find_leaks(docs, bench, index_items=n).collect()), key=str) for n in (1, 10, 100)]
+    assert found[0] == found[1] == found[2]
+    assert {(0, 51), (1, 51), (4, 0), (5, 5), (5, 6), (6, 39), (None, 6), (9, 0)} <= {r[:2] for r in found[0]}
+    assert not [r for r in found[0] if r[0] in (0, 1) and r[1] != 51]
+    statistics = decontaminate.Statistics.of([t for _, t in {(i, t) for i, t in items if i is not None}])
+    index = decontaminate.Index([items[39]], statistics)
+    assert index.search(list(range(len(index.terms))), 0.5) == [(0, pytest.approx(1.0))]
+
+
 def test_passages_without_a_question_are_verified_whole(spark):
     passage = "Along the northern ridge the old surveyors left seven marked stones beside the frozen track. Nobody moved them for ninety winters after that. It snowed."
     filler = " ".join(f"f{i}" for i in range(200))

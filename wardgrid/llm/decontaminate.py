@@ -13,27 +13,33 @@ passages; each passage is a query, and all pieces at or above the threshold are
    is a question with an answer (see `split_item`) needs enough of each; any other is taken whole, and
    both overlaps are that of the whole item.
 
-An index of at most INDEX_ITEMS items is broadcast; a larger benchmark is searched in several such
-parts, each with its own statistics.
+Document frequencies, mean and greatest piece length are Spark aggregates over the whole benchmark. Items
+are dealt by hash to parts of about INDEX_ITEMS; a task for each part builds its index from these common
+statistics and writes it to the shared folder, where the scanning tasks read one part at a time. So neither
+rows nor scores depend on the number of parts, documents are scanned in one plan, and the driver holds only
+the parts' paths.
 
 Words are runs without blanks and ASCII marks, A-Z in lower case. Edge cases: null or blank texts,
-items without words and null item_ids match nothing; repeated rows are reported once for each row;
-an empty benchmark or an empty table gives no rows; other columns are ignored.
+items without words and null item_ids match nothing; repeated documents are reported once for each row,
+repeated items count once, and of items that share an item_id the best is reported; an empty benchmark or an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
+import uuid
 from collections.abc import Iterator
-from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardgrid.llm import words
-from wardgrid.llm.shared import broadcast_if_small
+from wardgrid.llm.shared import broadcast_if_small, make_folder, open_file, stored, work_path, write_file
 
 K1, B = 1.2, 0.75
 PIECE_WORDS = 64
@@ -44,6 +50,11 @@ LEAST_QUESTION = 0.6
 LEAST_ANSWER = 0.5
 INDEX_ITEMS = 20_000
 NGRAM = 3
+#: Text held at once by a task that reads several parts for it.
+READ_BYTES = 64 << 20
+#: Rounding allowed for in bounds, so that only scores themselves meet the threshold.
+SLACK = 1e-9
+LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
 _FOLD = words.FOLD.copy()
 _FOLD[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 0x20
@@ -84,33 +95,55 @@ def split_item(text: str) -> tuple[str, str]:
     return text, text
 
 
+def _pieces(text: str) -> list[np.ndarray]:
+    found = _words(text)
+    return [found[at : at + PIECE_WORDS] for at in range(0, len(found), PIECE_WORDS)]
+
+
+class Statistics(NamedTuple):
+    """Of the whole benchmark: its pieces, their words, the longest, and the pieces that hold each term (sorted)."""
+
+    pieces: int
+    words: int
+    longest: int
+    terms: np.ndarray
+    df: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Statistics:
+        pieces = [p for text in texts for p in _pieces(text)]
+        flat = np.concatenate([np.zeros(0, np.uint64), *map(np.unique, pieces)])
+        return cls(len(pieces), sum(map(len, pieces)), max(map(len, pieces), default=1), *np.unique(flat, return_counts=True))
+
+
 class Index:
-    """Inverted index of items (item_id, text)."""
+    """Inverted index of items (item_id, text), with the statistics of the benchmark they are a part of."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None) -> None:
+        statistics = statistics or Statistics.of([text for _, text in items])
         self.item_ids, self.question, self.answer, self.sizes = [], [], [], []
         pieces, self.owner = [], []
         for item_id, text in items:
-            found = _words(text)
-            if not len(found):
+            found = _pieces(text)
+            if not found:
                 continue
             question, answer = split_item(text)
             self.question.append(_words(question))
             self.answer.append(_words(answer))
-            self.sizes.append(len(found))
-            for at in range(0, len(found), PIECE_WORDS):
-                pieces.append(found[at : at + PIECE_WORDS])
-                self.owner.append(len(self.item_ids))
+            self.sizes.append(sum(map(len, found)))
+            pieces += found
+            self.owner += [len(self.item_ids)] * len(found)
             self.item_ids.append(item_id)
-        self.longest = max((len(p) for p in pieces), default=1)
+        self.longest = statistics.longest
         counted = [np.unique(p, return_counts=True) for p in pieces]
         flat = np.concatenate([t for t, _ in counted]) if counted else np.zeros(0, np.uint64)
         piece = np.repeat(np.arange(len(pieces)), [len(t) for t, _ in counted])
         tf = np.concatenate([c for _, c in counted]).astype(float) if counted else np.zeros(0)
         self.terms, term, df = np.unique(flat, return_inverse=True, return_counts=True)
-        idf = np.log1p((len(pieces) - df + 0.5) / (df + 0.5))
+        everywhere = statistics.df[np.searchsorted(statistics.terms, self.terms)]
+        idf = np.log1p((statistics.pieces - everywhere + 0.5) / (everywhere + 0.5))
         length = np.array([len(p) for p in pieces], float)
-        norm = K1 * (1 - B + B * length / max(1.0, length.mean() if len(length) else 1.0))
+        norm = K1 * (1 - B + B * length / max(1.0, statistics.words / max(1, statistics.pieces)))
         score = idf[term] * tf * (K1 + 1) / (tf + norm[piece])
         score /= np.bincount(piece, score, len(pieces))[piece]
         order = np.lexsort((piece, term))
@@ -147,7 +180,7 @@ class Index:
                 minlength=len(low) * self.blocks,
             ).reshape(len(low), self.blocks)
             bounds = np.searchsorted(owner, np.arange(len(low) + 1))
-            for i in np.flatnonzero(sums.max(axis=1) >= threshold - 1e-9):
+            for i in np.flatnonzero(sums.max(axis=1) >= threshold - SLACK):
                 yield at + int(i), found[bounds[i] : bounds[i + 1]]
 
     def lookup(self, hashes: np.ndarray) -> np.ndarray:
@@ -175,7 +208,7 @@ class Index:
                 if piece == end:
                     break
                 bound += self.greatest[t]
-                if bound >= threshold:
+                if bound >= threshold - SLACK:
                     pivot = i
                     break
             if pivot is None:
@@ -186,7 +219,7 @@ class Index:
             block = target // BLOCK
             bound = sum(self.block_greatest(t, block) for _, _, t in lists[: pivot + 1])
             skip_to = min((block + 1) * BLOCK, end)
-            if bound < threshold:
+            if bound < threshold - SLACK:
                 # No piece up to the block's end can do; lists behind the pivot may come in before.
                 if pivot + 1 < len(lists):
                     skip_to = min(skip_to, lists[pivot + 1][0])
@@ -206,9 +239,8 @@ class Index:
                     if entry[0] < target:
                         advance(entry, target)
 
-    def scan(self, texts: pa.Array, threshold: float, least_question: float, least_answer: float):
-        """(text, item_id, score, question overlap, answer overlap) of all verified items."""
-        hashes, bounds = words.hashed(texts, _FOLD)
+    def scan(self, hashes: np.ndarray, bounds: np.ndarray, threshold: float, least_question: float, least_answer: float):
+        """(text, item_id, score, question overlap, answer overlap) of all verified items in texts given by their words."""
         term = self.lookup(hashes)
         weight = np.where(term >= 0, self.greatest[term] if len(self.greatest) else 0.0, 0.0)
         total = np.concatenate([[0.0], np.cumsum(weight)])
@@ -218,7 +250,7 @@ class Index:
         number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
         first = bounds[:-1][text] + number * self.longest
         last = np.minimum(first + 2 * self.longest, bounds[1:][text])
-        likely = np.flatnonzero(total[last] - total[first] >= threshold - 1e-9)
+        likely = np.flatnonzero(total[last] - total[first] >= threshold - SLACK)
         for i, part in self.hopeful(term, first[likely], last[likely], threshold):
             w = likely[i]
             for piece, score in self.search(part.tolist(), threshold):
@@ -234,20 +266,97 @@ class Index:
                     yield int(text[w]), self.item_ids[item], score, *shares
 
 
-def _scanner(index, threshold: float, least_question: float, least_answer: float):
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (part, term, df) of each part's items, and a row without a term: its pieces, their words, the longest."""
+    for batch in batches:
+        by_part: dict[int, list[str]] = {}
+        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            by_part.setdefault(part, []).append(text)
+        for part, texts in by_part.items():
+            found = Statistics.of(texts)
+            size = len(found.terms)
+            columns = {
+                "part": pa.array([part] * (size + 1), pa.int32()),
+                "term": pa.array([None, *found.terms.view(np.int64).tolist()], pa.int64()),
+                "df": pa.array([None, *found.df.tolist()], pa.int64()),
+                "pieces": pa.array([found.pieces] + [None] * size, pa.int64()),
+                "words": pa.array([found.words] + [None] * size, pa.int64()),
+                "longest": pa.array([found.longest] + [None] * size, pa.int64()),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def write_index(benchmark: DataFrame, index_items: int = INDEX_ITEMS) -> list[str]:
+    """Paths of the index parts in the shared folder, one for about `index_items` items."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").dropna().distinct()
+    items = stored(spark, items, "benchmark-items")
+    parts = max(1, -(-items.count() // index_items))
+    items = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)).cast("int"))
+    counted = items.mapInArrow(_count, "part int, term long, df long, pieces long, words long, longest long")
+    counted = stored(spark, counted, "benchmark-terms")
+    pieces, length, longest = counted.agg(F.sum("pieces"), F.sum("words"), F.max("longest")).first()
+    if not pieces:
+        return []
+    terms = counted.filter("term IS NOT NULL")
+    everywhere = terms.groupBy("term").agg(F.sum("df").alias("df"))
+    of_part = terms.select("part", "term").distinct().join(everywhere, "term")
+    folder = work_path(spark, "benchmark-index")
+    make_folder(folder)
+
+    def build(key: tuple, rows: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        known = known.assign(term=known["term"].to_numpy(np.int64).view(np.uint64)).sort_values("term")
+        statistics = Statistics(pieces, length, longest, known["term"].to_numpy(), known["df"].to_numpy())
+        rows = rows.sort_values(["item_id", "text"])
+        index = Index(list(zip(rows["item_id"].tolist(), rows["text"], strict=True)), statistics)
+        path = f"{folder}/{key[0]}-{uuid.uuid4().hex}"  # a repeated task writes another file
+        write_file(path, [pickle.dumps(index)])
+        return pd.DataFrame({"part": [key[0]], "path": [path]})
+
+    built = items.groupBy("part").cogroup(of_part.groupBy("part")).applyInPandas(build, "part int, path string")
+    return [r["path"] for r in built.orderBy("part").collect()]
+
+
+_LOADED: dict[str, Index] = {}  # the part that this Python worker read last
+
+
+def _load(path: str) -> Index:
+    if path not in _LOADED:
+        _LOADED.clear()
+        with open_file(path) as source:
+            _LOADED[path] = pickle.loads(source.read())
+    return _LOADED[path]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Slices of the batches, as many together as hold `limit` bytes (one at least)."""
+    group, size = [], 0
+    for batch in batches:
+        for part in words.chunks(batch, "text"):
+            group.append(part)
+            size += part.nbytes
+            if size >= limit:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def _scanner(paths: list[str], threshold: float, least_question: float, least_answer: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = index.value
         names = ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        for batch in batches:
-            for part in words.chunks(batch, "text"):
-                best: dict[tuple[int, int], tuple] = {}
-                for text, item_id, *scores in search.scan(part.column("text"), threshold, least_question, least_answer):
-                    best[text, item_id] = max(best.get((text, item_id), (0.0,)), tuple(scores))
-                ids = part.column("doc_id").to_pylist()
-                rows = [(ids[text], item_id, *scores) for (text, item_id), scores in best.items()]
-                columns = list(zip(*rows, strict=True)) or [[] for _ in names]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+        for group in _gathered(batches, READ_BYTES if len(paths) > 1 else 1):
+            hashed = [words.hashed(part.column("text"), _FOLD) for part in group]
+            best: dict[tuple[int, int, int], tuple] = {}
+            for path in paths:
+                search = _load(path)
+                for i, (hashes, bounds) in enumerate(hashed):
+                    for text, item_id, *scores in search.scan(hashes, bounds, threshold, least_question, least_answer):
+                        best[i, text, item_id] = max(best.get((i, text, item_id), (0.0,)), tuple(scores))
+            rows = [(group[i].column("doc_id")[text].as_py(), item_id, *scores) for (i, text, item_id), scores in best.items()]
+            columns = list(zip(*rows, strict=True)) or [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     return scan
 
@@ -261,20 +370,11 @@ def find_leaks(
     index_items: int = INDEX_ITEMS,
 ) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: a row per document and leaked item."""
-    spark = docs.sparkSession
-    items = benchmark.select("item_id", "text").filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    rows = items.orderBy("item_id", "text").toLocalIterator()
-    texts, found = docs.select("doc_id", "text").filter(F.length("text") > 0), None
-    # One part of the index at a time is on the driver.
-    while part := [(r["item_id"], r["text"]) for r in islice(rows, index_items)]:
-        index = spark.sparkContext.broadcast(Index(part))
-        leaks = texts.mapInArrow(
-            _scanner(index, threshold, least_question, least_answer),
-            "doc_id long, item_id long, score double, question_overlap double, answer_overlap double",
-        )
-        found = leaks if found is None else found.unionAll(leaks)
-    empty = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    return spark.createDataFrame([], empty) if found is None else found
+    paths = write_index(benchmark, index_items)
+    if not paths:
+        return docs.sparkSession.createDataFrame([], LEAKS)
+    texts = docs.select("doc_id", "text").filter(F.length("text") > 0)
+    return texts.mapInArrow(_scanner(paths, threshold, least_question, least_answer), LEAKS)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
