@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import time
 import zlib
 
 import numpy as np
@@ -115,6 +116,63 @@ def test_extract_keeps_the_title_of_long_articles(spark, outer):
     assert got == {i: " ".join(["The title", *["words"] * n, "Author"]) for i, n in enumerate((20, 2000))}
 
 
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<a " * 340_000,
+        '<a "' * 250_000,
+        "<!x " * 250_000,
+        "<a '\" " * 170_000,
+        "<div>" * 100_000 + "</b>" * 100_000,
+        "<b><article>" + "<i>" * 120_000 + "</b>" * 120_000,
+        "<span>x" * 140_000,
+        "<ul><li>" * 120_000,
+        "<p " + "x" * 1_000_000 + ">t",
+        '<div class="x menu"><article>t</article>' * 25_000,
+        '<div class="x menu"><article>t</article></div>' * 22_000,
+        "<div class=x><p>t</p></div>" * 36_000,
+    ],
+    ids=lambda html: html[:12],
+)
+def test_broken_pages_of_a_megabyte_take_seconds(html):
+    begin = time.monotonic()
+    extract.votes(html)
+    extract.extract(html, "div.x")
+    assert time.monotonic() - begin < 20
+
+
+def test_tags_end_as_a_plain_search_finds():
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        html = "".join(rng.choice(list("<<<>ab/!? \"'-")) for _ in range(30))
+        tags, at, found = extract._Tags(html), 0, []
+        while m := tags.next(at):
+            found.append(m.span())
+            at = m.end()
+        assert found == [m.span() for m in extract._TAG.finditer(html)]
+
+
+@pytest.mark.parametrize(
+    "kept",
+    ['p class="market-share"', 'div class="search-results-study"', 'p class="alert"', 'p class="menu"', 'li class="related"', 'h2 id="search"', "label", 'span class="share"'],
+)
+@pytest.mark.parametrize("dropped", ['div class="share-buttons"', 'div class="related-posts"', 'p class="advert"', 'div class="cookie-law"', 'section class="menu"'])
+def test_extract_inside_articles_goes_by_whole_names(kept, dropped):
+    page = f"<body><article><h1>T</h1><p>One.</p><{kept}>Two.</{kept.split()[0]}><{dropped}>Gone.</{dropped.split()[0]}><p>Three.</p></article><div class=market-share><p>Aside</p></div></body>"
+    assert " ".join(extract.extract(page).split()) == "T One. Two. Three."
+
+
+def test_extract_is_the_same_for_hot_hosts_and_many(spark):
+    rows = [(i, f"http://{'hot' if i % 3 else f'h{i}'}/{i}", f"<body><div class=d{i % 2}><p>Text {i} of the page.</p></div></body>") for i in range(60)]
+    rows += [(60, None, "<p>x</p>"), (None, "http://hot/", None), (1, "http://hot/1", rows[1][2])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash"))
+    plain = sorted(map(tuple, extract.extract_pages(pages).collect()), key=str)
+    assert len(plain) == len(rows)
+    for limits in ((10, 5, 1 << 20), (10, 100, 5), (1000, 0, 0)):
+        assert sorted(map(tuple, extract.extract_pages(pages, *limits).collect()), key=str) == plain
+    assert extract.extract_pages(pages.limit(0), 10, 0, 0).count() == 0
+
+
 def test_consensus_path_beats_an_odd_page(spark):
     odd = "<body><div class=note1><p>short</p></div><div class=main><p>text</p></div></body>"
     usual = "<body><div class=main><p>" + "text " * 50 + "</p></div></body>"
