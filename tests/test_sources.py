@@ -8,6 +8,7 @@ from conftest import collect, worksheet
 from wardgrid import load_trusts, read_snapshot, write_snapshot
 from wardgrid.sources.cells import CELL_SCHEMA, read_cells, write_cells
 from wardgrid.sources.directory import DIRECTORY_COLUMNS
+from wardgrid.sources.snapshots import write_snapshots
 
 
 def test_directory_reads_quotes_blanks_and_na(spark, tmp_path):
@@ -70,6 +71,18 @@ def test_snapshots_replace_one_winter_only(spark, tmp_path):
     assert dict(old.dtypes)["cc_beds_open"] == "double" and dict(new.dtypes)["cc_beds_open"] == "int"
 
 
+def test_an_empty_winter_replaces_its_copy(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    rows = {w: snapshot_row(spark, w, code="R1") for w in ("2019-20", "2020-21", "2022-23")}
+    write_snapshots(list(rows.items()), path)
+    nothing = spark.createDataFrame([], rows["2020-21"].schema)
+    write_snapshots([("2020-21", nothing), ("2022-23", rows["2022-23"].unionAll(rows["2022-23"]))], path)
+    assert [read_snapshot(spark, path, w).count() for w in rows] == [1, 0, 2]
+    write_snapshot(rows["2019-20"].where("code = 'none'"), "2019-20", path)
+    write_snapshot(nothing, "2021-22", path)
+    assert [read_snapshot(spark, path, w).count() for w in (*rows, "2021-22")] == [0, 0, 2, 0]
+
+
 def test_snapshot_reads_one_partition(spark, tmp_path, capsys):
     path = str(tmp_path / "saved")
     write_snapshot(snapshot_row(spark, "2019-20", code="R1"), "2019-20", path)

@@ -164,6 +164,8 @@ class SheetColumn:
 
 SPLIT_SOURCES = {
     "Adult G&A beds": {"ga_beds_open": "adult_open", "ga_beds_occupied": "adult_occupied", "ga_beds_void": "adult_void"},
+    # Printed rates, which only the archived layouts read.
+    "G&A beds": {"ga_occupancy_rate": "CASE WHEN ga_beds_open > 0 THEN CAST(ga_beds_occupied AS DOUBLE) / ga_beds_open END"},
     "Paediatric G&A beds": {"ga_beds_open": "paed_open", "ga_beds_occupied": "paed_occupied", "ga_beds_void": "paed_void"},
 }
 IGNORED_HEADING = SheetColumn("Occupancy rate", None)
@@ -178,7 +180,8 @@ def sheet_columns(sheet: Sheet) -> list[SheetColumn]:
             by_measure[measure] = SheetColumn(by_measure[measure].heading, source, heading)
         else:
             by_measure[measure] = SheetColumn(heading, source)
-    return [*by_measure.values(), IGNORED_HEADING]
+    columns = list(by_measure.values())
+    return columns if any(c.heading == IGNORED_HEADING.heading for c in columns) else [*columns, IGNORED_HEADING]
 
 
 def has_own_dates(layout: Layout, sheet: Sheet) -> bool:
@@ -326,7 +329,7 @@ def national_rows(layout: Layout, sheet: Sheet) -> list[tuple[int, str]]:
     rows = [(1, "ENGLAND")]
     if layout.winter >= "2020-21" and 2 not in sheet.drop_rows:
         rows.append((2, TYPE_1_NATIONAL_ROW))
-    return [*rows, (sheet.drop_rows[0], "not an organisation")]
+    return [*rows, (next(row for row in sheet.drop_rows if row > 1), "not an organisation")]
 
 
 def _name_cells(layout: Layout, sheet: Sheet) -> str:
