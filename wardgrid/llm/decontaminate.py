@@ -52,6 +52,8 @@ INDEX_ITEMS = 20_000
 NGRAM = 3
 #: Text held at once by a task that reads several parts for it.
 READ_BYTES = 64 << 20
+#: Text bytes whose words are looked up at once.
+CHUNK = 2 << 20
 #: Rounding allowed for in bounds, so that only scores themselves meet the threshold.
 SLACK = 1e-9
 LEAKS = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
@@ -332,7 +334,7 @@ def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa
     """Slices of the batches, as many together as hold `limit` bytes (one at least)."""
     group, size = [], 0
     for batch in batches:
-        for part in words.chunks(batch, "text"):
+        for part in words.chunks(batch, "text", CHUNK):
             group.append(part)
             size += part.nbytes
             if size >= limit:

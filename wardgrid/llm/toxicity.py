@@ -42,6 +42,8 @@ LEAST_TEXTS = 6
 #: Pairs of the sample that training handles at a time.
 BLOCK = 1 << 18
 THRESHOLD = 0.3
+#: Text bytes whose features a task holds at once.
+CHUNK = 2 << 20
 #: Toxic rows weigh this much more in training: a missed insult costs more than a false alarm.
 TOXIC_WEIGHT = 2.0
 
@@ -75,24 +77,27 @@ _BLANK = words.FOLD.copy()
 _BLANK[_MARKS] = 0x20
 
 
-def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(feature of every word and word head, offsets per text); ASCII marks part words as blanks do."""
+def features(texts: pa.Array, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(feature of every word and word head, offsets per text); ASCII marks part words as blanks do.
+
+    With `weights`, only features that have one: a long text is then held as these alone.
+    """
     # Marks become blanks before words are found, so "idiot!" is "idiot".
     data, offsets = words.buffers(texts)
     first, last = (int(offsets[0]), int(offsets[-1])) if len(data) else (0, 0)
-    starts, found = [np.zeros(0, np.int64)], [np.zeros((1 + len(HEADS), 0), np.uint64)]
+    starts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if last > first:
         blank = _BLANK[data[first:last]]
         for _, start, _, hashes in words.spans(blank, offsets - first, words.KEEP, heads=HEADS):
-            starts.append(start)
-            found.append(hashes)
-    # Word by word: the word, then those of its heads that there are.
-    flat = np.concatenate(found, axis=1).T
-    given = flat != 0
-    given[:, 0] = True
-    before = np.concatenate([[0], np.cumsum(given.sum(axis=1))])
-    bounds = before[np.searchsorted(np.concatenate(starts), offsets - first, "left")]
-    return (flat[given] >> np.uint64(64 - BITS)).astype(np.int64), bounds
+            # Word by word: the word, then those of its heads that there are.
+            given = hashes.T != 0
+            given[:, 0] = True
+            feature = (hashes.T >> np.uint64(64 - BITS)).astype(np.int64)
+            if weights is not None:
+                given &= weights[feature] != 0
+            starts.append(np.repeat(start, given.sum(axis=1)))
+            found.append(feature[given])
+    return np.concatenate(found), np.searchsorted(np.concatenate(starts), offsets - first, "left")
 
 
 def features_of(word: str) -> list[int]:
@@ -218,10 +223,8 @@ def train(
 
 
 def score_features(feature: np.ndarray, bounds: np.ndarray, weights: np.ndarray, intercept: float) -> np.ndarray:
-    """Probability per text. Only words with a weight are counted."""
-    heavy = np.flatnonzero(weights[feature])
-    kept = np.searchsorted(heavy, bounds, "left")
-    row, found, value = counted(feature[heavy], kept)
+    """Probability per text, from its features that have a weight (others add nothing)."""
+    row, found, value = counted(feature, bounds)
     score = np.bincount(row, weights[found] * value, minlength=len(bounds) - 1) + intercept
     return 1 / (1 + np.exp(-np.clip(score, -40, 40)))
 
@@ -231,7 +234,7 @@ def score_features(feature: np.ndarray, bounds: np.ndarray, weights: np.ndarray,
 
 def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in words.chunks(batch, "text"):
+        for part in words.chunks(batch, "text", CHUNK):
             row, feature, value = counted(*features(part.column("text")))
             ends = np.searchsorted(row, np.arange(len(part) + 1))
             packed = [(feature[a:b].astype(np.int32).tobytes(), value[a:b].astype(np.float32).tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -284,7 +287,8 @@ def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     return data[offsets[0] : offsets[-1]].view(kind)
 
 
-def _scorer(model: tuple[np.ndarray, float] | None):
+def _scorer(model: tuple[np.ndarray, float] | None, column: str, keep: bool = False):
+    """Adds the score of the texts in a column, in its place or (`keep`) besides."""
     places = np.flatnonzero(model[0]) if model else np.zeros(0, np.int64)
     values, intercept = (model[0][places], model[1]) if model else (np.zeros(0, np.float32), 0.0)
 
@@ -292,11 +296,11 @@ def _scorer(model: tuple[np.ndarray, float] | None):
         weights = np.zeros(1 << BITS, np.float32)
         weights[places] = values
         for batch in batches:
-            for part in words.chunks(batch, "text"):
-                feature, bounds = features(part.column("text"))
+            for part in words.chunks(batch, column, CHUNK):
+                feature, bounds = features(part.column(column), weights)
                 p = score_features(feature, bounds, weights, intercept) if model else np.zeros(len(part))
-                at = part.schema.get_field_index("text")
-                yield part.remove_column(at).append_column("score", pa.array(p, pa.float64()))
+                rest = part if keep else part.remove_column(part.schema.get_field_index(column))
+                yield rest.append_column("score", pa.array(p, pa.float64()))
 
     return score
 
@@ -306,7 +310,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, may_teach: Column | None
     held_out = fold(F.col("doc_id")) == 2
     model = learn(docs, labels, ~held_out if may_teach is None else may_teach, **parameters)
     scored = docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(
-        _scorer(model), "doc_id long, held_out boolean, score double"
+        _scorer(model, "text"), "doc_id long, held_out boolean, score double"
     )
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
@@ -317,7 +321,6 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     names = [f"_c{i}" for i in range(len(docs.columns))]
     renamed = docs.toDF(*names)
     text = names[docs.columns.index("text")]
-    # The text is scored from a second column, since the scorer takes "text" away.
     schema = ", ".join(f"`{n}` {t}" for n, t in renamed.dtypes)
-    scored = renamed.withColumn("text", F.col(text)).mapInArrow(_scorer(model), f"{schema}, score double")
+    scored = renamed.mapInArrow(_scorer(model, text, keep=True), f"{schema}, score double")
     return scored.filter(F.col("score") < threshold).select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])

@@ -1,7 +1,7 @@
 """Words of Arrow text columns as 64-bit hashes, computed on whole byte buffers.
 
 A word is a longest run of bytes other than 0x20 and 0x09 to 0x0D. Work goes in pieces of
-about a megabyte, cut between words, so memory does not grow with the length of a text.
+about 256 KiB, cut between words, so memory does not grow with the length of a text.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
