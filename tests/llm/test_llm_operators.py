@@ -289,6 +289,23 @@ def test_sharding_is_even_and_gathers_copies(spark):
     assert sharding.shard(spark, documents(spark, texts).limit(0)).count() == 0
 
 
+def test_groups_gather_without_unlinked_rows(spark):
+    groups = documents(spark, [f"group {i // 3}" for i in range(300)])
+    sharded = sharding.shard(spark, groups, shards=10).cache()
+    assert sorted(r["count"] for r in sharded.groupBy("shard").count().collect()) == [30] * 10
+    # All 100 groups start cut; shards without a loose document left may keep a few so.
+    assert sharding.cut_links(sharded).count() <= 15
+
+
+def test_sharding_of_null_ids_few_rows_and_empty_texts(spark):
+    rows = [(None, "a"), (None, "a"), (7, ""), (8, ""), (9, None)]
+    out = sharding.shard(spark, spark.createDataFrame(rows, "doc_id long, text string"), shards=40).collect()
+    assert sorted((r["doc_id"] or 0, r["size"]) for r in out) == [(0, 17), (0, 17), (7, 16), (8, 16), (9, 16)]
+    assert all(r["slot"] == 0 for r in out) and len({r["shard"] for r in out}) == 5
+    linked = {r["doc_id"]: r["link"] for r in out if r["doc_id"]}
+    assert linked[7] == linked[8] is not None and linked[9] is None
+
+
 ITEMS = [
     (1, "What river runs through the old town of Marley and meets the sea? The river Tarn."),
     (2, "Name the largest moon of the seventh planet in this invented system. It is Ogelle."),
