@@ -129,8 +129,8 @@ def report_grid(spark: SparkSession, sf_dir: str, by: str) -> DataFrame:
 def tidy_report(spark: SparkSession, sf_dir: str, by: str = "nation") -> DataFrame:
     """Cell table to one row per organisation and month, complete rows only."""
     grid = store_cells(spark, report_grid(spark, sf_dir, by), f"report-{by}")
-    rows = winter_panel(grid, REPORT_LAYOUT)
-    return complete_rows(combine_by_key(rows, REPORT_LAYOUT))
+    rows, entries = winter_panel(grid, REPORT_LAYOUT)
+    return complete_rows(combine_by_key(rows, REPORT_LAYOUT, entries))
 
 
 def tidy_report_sql(keys: str) -> str:
