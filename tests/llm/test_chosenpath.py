@@ -98,6 +98,31 @@ def test_group_that_never_falls_apart(spark):
     assert found(spark, rows, small=1, block=4, levels=1) == brute_force(rows)
 
 
+def test_a_block_gives_no_more_pairs_than_classes():
+    # 200 classes of which any two are likely, none similar: 19,900 pairs, each class a component.
+    rng = np.random.default_rng(1)
+    common = np.arange(760, dtype=np.uint64)
+    sets = [np.sort(np.concatenate([common, rng.integers(1 << 40, 1 << 60, 240).astype(np.uint64)])) for _ in range(200)]
+    sets += [np.sort(np.concatenate([sets[0][:-10], rng.integers(1 << 40, 1 << 60, 10).astype(np.uint64)]))]
+    tokens = chosenpath.minwise([s for s in sets])
+    names = [b"%03d" % i for i in range(len(sets))]
+
+    def run(whole):
+        rows = [(1, names[i], names[i], few, len(s), tokens[i].tobytes(), s.tobytes()) for few in (True, False) for i, s in enumerate(sets)]
+        columns = list(zip(*rows, strict=True))
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.int64(), pa.binary(), pa.binary()]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["group", "set", "part", "few", "n", "tokens", "hashes"]
+        )
+        compare = chosenpath._compare(60 if not whole else 85, whole)
+        return [tuple(p.values()) for out in compare(iter([batch])) for p in out.to_pylist()]
+
+    likely = run(False)
+    assert 0 < len(likely) < len(sets)
+    assert {name for pair in likely for name in pair} == set(names)
+    assert [set(pair) for pair in run(True)] == [{names[0], names[-1]}]
+
+
 def test_repeated_ids_nulls_extra_columns(spark):
     w, v, v2 = (" ".join(f"{x}{i}" for i in range(40)) for x in "wvv")
     v2 += " more"

@@ -22,6 +22,10 @@ join components, so:
    component are few (at most SMALL) they meet all others, in blocks of BLOCK classes; a node with more
    of them branches. At the last level, nodes that never fell apart (many sets almost similar enough) are
    compared block by block. So no group is dropped, cut or sampled, and none has to fit into a task.
+   Likely pairs are not written, as there may be as many as the square of a group's classes: a block gives
+   what connects its likely pairs, at most a pair a class, connected classes become families, and a
+   family's whole sets are compared within a task, which gives at most a link a class again. A
+   family with more than SMALL classes outside its largest component is compared in the blocks its pairs are from.
 
 Edge cases: null or blank text has no shingles, n_shingles 0 and is its own component; a text of fewer
 words than a shingle has one, the whole sequence; rows that repeat a doc_id are one node, whatever
@@ -155,33 +159,46 @@ def _agreeing(percent: int):
 
 
 class _Group:
-    """The classes of a node that meet in one block, gathered over batches."""
+    """The classes of a node or family that meet in one block, gathered over batches."""
 
     def __init__(self) -> None:
         self.parts: list[pa.RecordBatch] = []
 
-    def pairs(self, percent: int, least: int) -> tuple[list[bytes], list[bytes]]:
+    def pairs(self, percent: int, least: int, whole: bool) -> tuple[list[bytes], list[bytes]]:
+        """Pairs that connect the likely pairs of different components; whole: only pairs of similar sets."""
         rows = pa.Table.from_batches(self.parts).combine_chunks().to_batches()[0]
         few = rows.column("few").to_numpy(zero_copy_only=False)
         n = rows.column("n").to_numpy()
         part = np.unique(np.array(rows.column("part").to_pylist(), dtype=object), return_inverse=True)[1]
         tokens = _matrix(rows.column("tokens"), len(rows))
-        names = rows.column("set")
+        names = rows.column("set").to_pylist()
         left, right = [], []
         members = np.flatnonzero(~few)
-        for i in np.flatnonzero(few):
-            other = members[(part[members] != part[i]) & _alike(n[members], n[i], percent)]
-            if len(other):
-                other = other[np.count_nonzero(tokens[other] == tokens[i], axis=1) >= least]
-                own = names[int(i)].as_py()
-                for j in other.tolist():
-                    left.append(own)
-                    right.append(names[j].as_py())
+        # A class may be both one of the few and one of the others. Whole sets join components, likely pairs only classes.
+        place = {name: i for i, name in enumerate(names)}
+        joined = part.copy() if whole else np.array([place[name] for name in names])
+        for i in np.flatnonzero(few).tolist():
+            other = members[(part[members] != part[i]) & (joined[members] != joined[i]) & _alike(n[members], n[i], percent)]
+            if not len(other):
+                continue
+            agreeing = np.count_nonzero(tokens[other] == tokens[i], axis=1)
+            other = other[np.argsort(-agreeing, kind="stable")[: np.count_nonzero(agreeing >= least)]]
+            for j in other.tolist():
+                if joined[j] != joined[i] and (not whole or self._similar(rows, i, j, percent)):
+                    left.append(names[i])
+                    right.append(names[j])
+                    joined[joined == joined[j]] = joined[i]
         return left, right
 
+    @staticmethod
+    def _similar(rows: pa.RecordBatch, i: int, j: int, percent: int) -> bool:
+        a, b = (np.frombuffer(rows.column("hashes")[x].as_buffer(), np.uint64) for x in (i, j))
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
+
 
-def _compare(percent: int):
-    """Pairs of a node's block: rows marked `few` against the others of other components.
+def _compare(percent: int, whole: bool):
+    """Pairs of a block: rows marked `few` against the others of other components (`_Group.pairs`).
 
     Rows come sorted by group (node, block); a group holds at most BLOCK others and SMALL or BLOCK few.
     """
@@ -191,7 +208,7 @@ def _compare(percent: int):
         group, key = _Group(), None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            left, right = group.pairs(percent, least)
+            left, right = group.pairs(percent, least, whole)
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], names=["a", "b"])
 
@@ -242,6 +259,18 @@ def _texts_of_sets(size: int):
     return keep
 
 
+def _hashes_of_sets(size: int):
+    """(set, hashes) of rows (set, text), each text the one of its set."""
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.chunks(batch, "text"):
+                found = [s.tobytes() for s in shingle_sets(part.column("text"), size)]
+                yield pa.RecordBatch.from_arrays([part.column("set"), pa.array(found, pa.binary())], names=["set", "hashes"])
+
+    return hashes
+
+
 # ---------------------------------------------------------------------------- Spark
 
 
@@ -311,7 +340,7 @@ class _Join:
             self.placed = components(self.spark, self.links).select(F.col("node").alias("set"), F.col("component").alias("part"))
         return self.placed
 
-    def check(self, pairs: DataFrame, agreeing: bool) -> int:
+    def check(self, pairs: DataFrame) -> int:
         """Verifies the pairs (a, b) not tried yet; returns how many links were new."""
         self.number += 1
         ordered = pairs.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).select("a", "b").distinct()
@@ -320,7 +349,7 @@ class _Join:
         ordered = stored(self.spark, ordered, f"chosenpath-pairs-{self.number}")
         self.tried = ordered if self.number == 1 else self.tried.unionAll(ordered)
         total = ordered.count()
-        if total and not agreeing:
+        if total:
             tokens = self._of(ordered, self.classes.select("set", "tokens"), total)
             both = _both_sides(ordered, tokens, total)
             both = both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_agreeing(self.percent), "a binary, b binary")
@@ -339,13 +368,33 @@ class _Join:
 
     def _whole(self, pairs: DataFrame, total: int) -> DataFrame:
         """The pairs whose whole sets reach the similarity."""
-        wanted = self._of(pairs, self.classes.select("set", F.col("rep").alias("doc_id")), total)
-        rows = self.texts.join(F.broadcast(wanted) if total <= MAX_BROADCAST_PAIRS else wanted, "doc_id")
-        texts = rows.select("set", "text").mapInArrow(_texts_of_sets(self.size), "set binary, text string")
-        texts = stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"])
+        texts = self._texts(self._of(pairs, self.classes.select("set", F.col("rep").alias("doc_id")), total), total)
         whole = _both_sides(pairs, texts, total).select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
         return whole.mapInArrow(_verify(self.size, self.percent), "a binary, b binary")
 
+    def _texts(self, wanted: DataFrame, total: int) -> DataFrame:
+        """(set, text) of the wanted classes (set, doc_id), which are in `total` pairs."""
+        rows = self.texts.join(F.broadcast(wanted) if total <= MAX_BROADCAST_PAIRS else wanted, "doc_id")
+        texts = rows.select("set", "text").mapInArrow(_texts_of_sets(self.size), "set binary, text string")
+        return stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"])
+
+    def settle(self, dealt: DataFrame) -> None:
+        """Links that join the components of the likely pairs in the blocks of `dealt` (group, set, part, few)."""
+        self.number += 1
+        likely = stored(self.spark, self._blocks(dealt).distinct(), f"chosenpath-likely-{self.number}")
+        if likely.isEmpty():
+            return
+        family = components(self.spark, likely).select(F.col("component").alias("node"), F.col("node").alias("set"))
+        rows, _ = self.open_rows(stored(self.spark, family.withColumn("n", F.lit(0)), f"chosenpath-families-{self.number}"))
+        few = F.col("size") - F.col("rows") <= self.limits["small"]
+        large = rows.filter(~few).select("set")
+        dealt = self.exhaust(rows.filter(few)).unionAll(dealt.join(large, "set", "left_semi").select("group", "set", "part", "few"))
+        wanted = self.classes.join(rows.select("set"), "set", "left_semi").select("set", F.col("rep").alias("doc_id"))
+        texts = self._texts(wanted, rows.count())
+        hashes = texts.mapInArrow(_hashes_of_sets(self.size), "set binary, hashes binary")
+        found = stored(self.spark, self._blocks(dealt, hashes), f"chosenpath-links-{self.number}")
+        self.links, self.placed = self.links.unionAll(found), None
+
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, n_a, b, n_b) of lengths that allow the similarity."""
         return pairs.filter(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")).select("a", "b")
@@ -379,7 +428,7 @@ class _Join:
         return self._near(_meet(outside, sized, "node", rows.count()))
 
     def exhaust(self, rows: DataFrame) -> DataFrame:
-        """All likely pairs of different components in small nodes."""
+        """The rows (group, set, part, few) of the blocks of nodes, or families, with few classes outside the largest component."""
         block = self.limits["block"]
         blocks = F.ceil(F.col("size") / block).cast("int")
         few = F.col("part") != F.col("largest")
@@ -387,7 +436,7 @@ class _Join:
         # Every row is one of the others of its block; the few are also rows of every block of their node.
         others = rows.select("node", "set", "part", F.lit(False).alias("few"), own.alias("block"))
         asked = rows.filter(few).select("node", "set", "part", F.lit(True).alias("few"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
-        return self._blocks(others.unionAll(asked), ["node", "block"])
+        return others.unionAll(asked).select(F.xxhash64("node", "block").alias("group"), "set", "part", "few")
 
     def exhaust_large(self, rows: DataFrame) -> DataFrame:
         """The same for nodes of any size: every block of a node meets every block of it, each pair of blocks in a task of its own."""
@@ -397,12 +446,15 @@ class _Join:
         dealt = rows.select("node", "set", "part", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
         asked = dealt.filter("own <= other").select("node", "set", "part", F.lit(True).alias("few"), F.col("own").alias("i"), F.col("other").alias("j"))
         others = dealt.filter("own >= other").select("node", "set", "part", F.lit(False).alias("few"), F.col("other").alias("i"), F.col("own").alias("j"))
-        return self._blocks(others.unionAll(asked), ["node", "i", "j"])
+        return others.unionAll(asked).select(F.xxhash64("node", "i", "j").alias("group"), "set", "part", "few")
 
-    def _blocks(self, rows: DataFrame, keys: list[str]) -> DataFrame:
-        grouped = rows.select(F.xxhash64(*keys).alias("group"), "set", "part", "few")
-        full = grouped.join(self.classes.select("set", "n", "tokens"), "set").repartition("group").sortWithinPartitions("group")
-        return full.select("group", "set", "part", "few", "n", "tokens").mapInArrow(_compare(self.percent), "a binary, b binary")
+    def _blocks(self, dealt: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
+        """Pairs that connect the likely pairs of each block; with the sets' hashes: the similar ones."""
+        full = dealt.join(self.classes.select("set", "n", "tokens"), "set")
+        full = full if hashes is None else full.join(hashes, "set")
+        full = full.select("group", "set", "part", "few", "n", "tokens", *([] if hashes is None else ["hashes"]))
+        full = full.repartition("group").sortWithinPartitions("group")
+        return full.mapInArrow(_compare(self.percent, hashes is not None), "a binary, b binary")
 
     def branch(self, rows: DataFrame) -> DataFrame:
         """(node, set, n) of the children of the nodes."""
@@ -437,25 +489,25 @@ def link_documents(
     nodes = members.groupBy("node").agg(F.count("*").alias("size"), center.alias("center")).filter("size > 1")
     nodes = stored(spark, nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b")), "chosenpath-roots")
     rows = stored(spark, _meet(members, nodes, "node", join.classes.count() * BRANCHES * trees), "chosenpath-members")
-    join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")), agreeing=False)
+    join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")))
     rows = rows.select("node", "set", "n")
     for _ in range(ROUNDS):
         open_, nodes = join.open_rows(rows)
         outside = open_.filter("part != largest").select("set").distinct().count()
         rows = open_.select("node", "set", "n")
-        if not outside or join.check(join.stars(open_, nodes), agreeing=False) < outside / 20:
+        if not outside or join.check(join.stars(open_, nodes)) < outside / 20:
             break
     for level in range(levels + 1):
         open_, nodes = join.open_rows(rows)
         if nodes.isEmpty():
             break
         few = F.col("size") - F.col("rows") <= small
-        join.check(join.exhaust(open_.filter(few)), agreeing=True)
+        join.settle(join.exhaust(open_.filter(few)))
         large = open_.filter(~few)
         if large.isEmpty():
             break
         if level == levels:
-            join.check(join.exhaust_large(large), agreeing=True)
+            join.settle(join.exhaust_large(large))
         else:
             rows = stored(spark, join.branch(large), f"chosenpath-level-{level}")
     return join.rows.select("doc_id", "n", "set"), join.classes.select("set", "rep"), join.parts()
