@@ -123,6 +123,35 @@ def test_a_block_gives_no_more_pairs_than_classes():
     assert [set(pair) for pair in run(True)] == [{names[0], names[-1]}]
 
 
+def test_sets_that_may_be_similar_are_compared_whole(monkeypatch):
+    draw = np.random.default_rng(2)
+    base = np.unique(draw.integers(0, 1 << 63, 300).astype(np.uint64))
+    sets = [base[draw.random(len(base)) < draw.uniform(0.6, 1)] for _ in range(60)]
+    found = chosenpath._Sets(pa.array([b"12345678", *(s.tobytes() for s in sets)], pa.binary())[1:])
+    assert [found.similar(0, j, 70) for j in range(60)] == [_alike_sets(sets[0], s, 70) for s in sets]
+    for lookups in (1 << 20, 500):
+        monkeypatch.setattr(chosenpath, "LOOKUPS", lookups)
+        for i in range(20):
+            alike = np.array([_alike_sets(sets[i], s, 70) for s in sets])
+            assert 0 < alike.sum() < 60 and not (alike & ~found.possible(i, np.arange(60), 70)).any()
+    agree = draw.random((9, chosenpath.POSITIONS)) < 0.7
+    assert chosenpath._true(agree).tolist() == agree.sum(axis=1).tolist()
+    assert chosenpath._true(np.ones((1, chosenpath.POSITIONS), bool)).tolist() == [chosenpath.POSITIONS]
+
+
+def _alike_sets(a, b, percent):
+    shared_ = len(np.intersect1d(a, b))
+    return shared_ > 0 and 100 * shared_ >= percent * (len(a) + len(b) - shared_)
+
+
+def test_a_node_of_a_block_s_size_is_compared_without_branching(spark, monkeypatch):
+    # 300 texts with a common passage, no two similar: more than 256 components in one node.
+    passage = " ".join(f"c{k}" for k in range(40))
+    rows = [(i, f"{passage} {' '.join(f'o{i}x{k}' for k in range(30))}") for i in range(300)]
+    monkeypatch.setattr(chosenpath._Join, "branch", lambda *_: pytest.fail("a node branched"))
+    assert [r[2] for r in found(spark, rows)] == list(range(300))
+
+
 def test_repeated_ids_nulls_extra_columns(spark):
     w, v, v2 = (" ".join(f"{x}{i}" for i in range(40)) for x in "wvv")
     v2 += " more"

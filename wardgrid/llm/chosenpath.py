@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from wardgrid.llm import words
 from wardgrid.llm.components import components
 from wardgrid.llm.jaccard import shingle_sets
-from wardgrid.llm.shared import MAX_BROADCAST_ROWS, broadcast_if_small, stored
+from wardgrid.llm.shared import MAX_BROADCAST_ROWS, broadcast_if_small, shuffles_released, stored
 
 WORDS = 3
 PERCENT = 85
@@ -56,8 +56,10 @@ BRANCHES = 2
 RECALL = 0.99999
 MISS = 1e-6
 #: A node is small if at most so many of its classes are outside its largest component.
-SMALL = 256
+SMALL = 2048
 BLOCK = 2048
+#: Hashes of a block's sets that are looked up at a time.
+LOOKUPS = 1 << 20
 LEVELS = 6
 ROUNDS = 8
 #: Pairs that share a class on one side are verified in parts of this many.
@@ -143,6 +145,12 @@ def _alike(n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
 
 
+def _true(rows: np.ndarray) -> np.ndarray:
+    """The number of true values in each row of POSITIONS (added up by eight bytes at a time)."""
+    lanes = rows.view(np.uint64).sum(axis=1, dtype=np.uint64)
+    return (lanes * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64)
+
+
 def _agreeing(percent: int):
     """Keeps pairs (a, b, tokens_a, tokens_b) with enough agreeing positions."""
     least = least_agreeing(percent)
@@ -152,12 +160,44 @@ def _agreeing(percent: int):
             if not len(batch):
                 continue
             same = _matrix(batch.column("tokens_a"), len(batch)) == _matrix(batch.column("tokens_b"), len(batch))
-            chosen = batch.select(["a", "b"]).filter(pa.array(np.count_nonzero(same, axis=1) >= least))
+            chosen = batch.select(["a", "b"]).filter(pa.array(_true(same) >= least))
             yield chosen
 
     return keep
 
 
+class _Sets:
+    """The whole sets of a block's rows, none empty."""
+
+    def __init__(self, column: pa.Array) -> None:
+        data, offsets = words.buffers(column)
+        self.hashes = data[offsets[0] : offsets[-1]].view(np.uint64)
+        self.starts = (offsets - offsets[0]) // 8
+        self.marks = (self.hashes >> np.uint64(48)).astype(np.uint16)
+        self.held = np.zeros(1 << 16, bool)
+
+    def possible(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the sets may be similar to that of row i: their marks (16 bits of a hash) share at least what the sets do."""
+        own = self.marks[self.starts[i] : self.starts[i + 1]]
+        sizes = self.starts[others + 1] - self.starts[others]
+        shared = np.zeros(len(others), np.int64)
+        self.held[own] = True
+        at, ends = 0, np.cumsum(sizes)
+        while at < len(others):
+            done = ends[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(ends, done + LOOKUPS, "right")))
+            found = self.held[self.marks[words.runs(self.starts[others[at:end]], sizes[at:end])]]
+            shared[at:end] = np.add.reduceat(found, ends[at:end] - sizes[at:end] - done, dtype=np.int64)
+            at = end
+        self.held[own] = False
+        return 100 * shared >= percent * (len(own) + sizes - np.minimum(shared, sizes))
+
+    def similar(self, i: int, j: int, percent: int) -> bool:
+        a, b = (self.hashes[self.starts[x] : self.starts[x + 1]] for x in (i, j))
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 class _Group:
     """The classes of a node or family that meet in one block, gathered over batches."""
 
@@ -171,6 +211,8 @@ class _Group:
         n = rows.column("n").to_numpy()
         part = np.unique(np.array(rows.column("part").to_pylist(), dtype=object), return_inverse=True)[1]
         tokens = _matrix(rows.column("tokens"), len(rows))
+        low = tokens.astype(np.uint8)  # agree wherever the tokens do
+        sets = _Sets(rows.column("hashes")) if whole else None
         names = rows.column("set").to_pylist()
         left, right = [], []
         members = np.flatnonzero(~few)
@@ -179,23 +221,21 @@ class _Group:
         joined = part.copy() if whole else np.array([place[name] for name in names])
         for i in np.flatnonzero(few).tolist():
             other = members[(part[members] != part[i]) & (joined[members] != joined[i]) & _alike(n[members], n[i], percent)]
+            if len(other):
+                other = other[_true(low[other] == low[i]) >= least]
             if not len(other):
                 continue
-            agreeing = np.count_nonzero(tokens[other] == tokens[i], axis=1)
+            agreeing = _true(tokens[other] == tokens[i])
             other = other[np.argsort(-agreeing, kind="stable")[: np.count_nonzero(agreeing >= least)]]
+            if whole and len(other):
+                other = other[sets.possible(i, other, percent)]
             for j in other.tolist():
-                if joined[j] != joined[i] and (not whole or self._similar(rows, i, j, percent)):
+                if joined[j] != joined[i] and (not whole or sets.similar(i, j, percent)):
                     left.append(names[i])
                     right.append(names[j])
                     joined[joined == joined[j]] = joined[i]
         return left, right
 
-    @staticmethod
-    def _similar(rows: pa.RecordBatch, i: int, j: int, percent: int) -> bool:
-        a, b = (np.frombuffer(rows.column("hashes")[x].as_buffer(), np.uint64) for x in (i, j))
-        shared = len(np.intersect1d(a, b, assume_unique=True))
-        return shared > 0 and 100 * shared >= percent * (len(a) + len(b) - shared)
-
 
 def _compare(percent: int, whole: bool):
     """Pairs of a block: rows marked `few` against the others of other components (`_Group.pairs`).
@@ -357,9 +397,14 @@ class _Join:
             total = ordered.count()
         if not total:
             return 0
-        found = stored(self.spark, self._whole(ordered, total), f"chosenpath-links-{self.number}")
-        self.links, self.placed = self.links.unionAll(found), None
-        return found.count()
+        return self._add(stored(self.spark, self._whole(ordered, total), f"chosenpath-links-{self.number}"))
+
+    def _add(self, found: DataFrame) -> int:
+        """Takes in the links found; components stand as long as there are none. Returns their number."""
+        number = found.count()
+        if number:
+            self.links, self.placed = self.links.unionAll(found), None
+        return number
 
     def _of(self, pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
         """The rows of `side` whose set is in one of the pairs."""
@@ -392,8 +437,7 @@ class _Join:
         wanted = self.classes.join(rows.select("set"), "set", "left_semi").select("set", F.col("rep").alias("doc_id"))
         texts = self._texts(wanted, rows.count())
         hashes = texts.mapInArrow(_hashes_of_sets(self.size), "set binary, hashes binary")
-        found = stored(self.spark, self._blocks(dealt, hashes), f"chosenpath-links-{self.number}")
-        self.links, self.placed = self.links.unionAll(found), None
+        self._add(stored(self.spark, self._blocks(dealt, hashes), f"chosenpath-links-{self.number}"))
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, n_a, b, n_b) of lengths that allow the similarity."""
@@ -482,35 +526,36 @@ def link_documents(
     levels: int = LEVELS,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, classes, components): doc_id, n, set of every row; set, rep of every class; set, part of linked classes."""
-    join = _Join(spark, docs, size, percent, {"small": small, "block": block})
-    trees = trees_for(recall, percent)
-    members = join.roots(trees)
-    center = F.min(F.struct("set", "n"))
-    nodes = members.groupBy("node").agg(F.count("*").alias("size"), center.alias("center")).filter("size > 1")
-    nodes = stored(spark, nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b")), "chosenpath-roots")
-    rows = stored(spark, _meet(members, nodes, "node", join.classes.count() * BRANCHES * trees), "chosenpath-members")
-    join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")))
-    rows = rows.select("node", "set", "n")
-    for _ in range(ROUNDS):
-        open_, nodes = join.open_rows(rows)
-        outside = open_.filter("part != largest").select("set").distinct().count()
-        rows = open_.select("node", "set", "n")
-        if not outside or join.check(join.stars(open_, nodes)) < outside / 20:
-            break
-    for level in range(levels + 1):
-        open_, nodes = join.open_rows(rows)
-        if nodes.isEmpty():
-            break
-        few = F.col("size") - F.col("rows") <= small
-        join.settle(join.exhaust(open_.filter(few)))
-        large = open_.filter(~few)
-        if large.isEmpty():
-            break
-        if level == levels:
-            join.settle(join.exhaust_large(large))
-        else:
-            rows = stored(spark, join.branch(large), f"chosenpath-level-{level}")
-    return join.rows.select("doc_id", "n", "set"), join.classes.select("set", "rep"), join.parts()
+    with shuffles_released(spark):
+        join = _Join(spark, docs, size, percent, {"small": small, "block": block})
+        trees = trees_for(recall, percent)
+        members = join.roots(trees)
+        center = F.min(F.struct("set", "n"))
+        nodes = members.groupBy("node").agg(F.count("*").alias("size"), center.alias("center")).filter("size > 1")
+        nodes = stored(spark, nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b")), "chosenpath-roots")
+        rows = stored(spark, _meet(members, nodes, "node", join.classes.count() * BRANCHES * trees), "chosenpath-members")
+        join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")))
+        rows = rows.select("node", "set", "n")
+        for _ in range(ROUNDS):
+            open_, nodes = join.open_rows(rows)
+            outside = open_.filter("part != largest").select("set").distinct().count()
+            rows = open_.select("node", "set", "n")
+            if not outside or join.check(join.stars(open_, nodes)) < outside / 20:
+                break
+        for level in range(levels + 1):
+            open_, nodes = join.open_rows(rows)
+            if nodes.isEmpty():
+                break
+            few = F.col("size") - F.col("rows") <= small
+            join.settle(join.exhaust(open_.filter(few)))
+            large = open_.filter(~few)
+            if large.isEmpty():
+                break
+            if level == levels:
+                join.settle(join.exhaust_large(large))
+            else:
+                rows = stored(spark, join.branch(large), f"chosenpath-level-{level}")
+        return join.rows.select("doc_id", "n", "set"), join.classes.select("set", "rep"), join.parts()
 
 
 def group_documents(spark: SparkSession, docs: DataFrame, size: int = WORDS, percent: int = PERCENT, **parameters) -> DataFrame:

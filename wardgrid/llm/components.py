@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wardgrid.llm.shared import stored
@@ -30,18 +30,23 @@ def _dealt(links: DataFrame, few: bool) -> DataFrame:
     return links.repartition(FEW_TASKS, "a") if few else links
 
 
+def _stored_round(spark: SparkSession, links: DataFrame, number: int) -> tuple[DataFrame, dict[str, int]]:
+    """The stored links, with their number and a digest of them that the write itself has gathered."""
+    state = Observation()
+    links = links.observe(state, F.count(F.lit(1)).alias("rows"), F.bit_xor(F.xxhash64("a", "b")).alias("digest"))
+    return stored(spark, links, f"components-{number}"), state.get
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(node, component) of every node in links (a, b); component is the smallest node reachable.
 
     Links of a node to itself count for nothing. Each round is written to the shared folder.
     """
     links = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    links = stored(spark, links.distinct(), "components-0")
-    few = links.count() <= FEW_LINKS
-    before = None
+    links, before = _stored_round(spark, links.distinct(), 0)
+    few = before["rows"] <= FEW_LINKS
     for number in range(1, MAX_ROUNDS):
-        links = stored(spark, _small_star(_dealt(_large_star(links, few), few).distinct(), few), f"components-{number}")
-        state = links.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+        links, state = _stored_round(spark, _small_star(_dealt(_large_star(links, few), few).distinct(), few), number)
         if state == before:
             roots = links.select(F.col("b").alias("node")).distinct()
             return links.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import pyarrow.fs as pafs
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 #: A table of at most this many rows (bounded row width) may be broadcast.
 MAX_BROADCAST_ROWS = 100_000
 
+#: With this, Spark drops a query's shuffle files when the query ends, not when the driver collects its garbage.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -40,10 +44,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Queries that run inside leave no shuffle files behind; the session's own setting comes back after."""
+    before = spark.conf.get(RELEASE, None)
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(RELEASE)
+        else:
+            spark.conf.set(RELEASE, before)
+
+
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage is cut, lost executors lose nothing."""
     path = work_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with shuffles_released(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
