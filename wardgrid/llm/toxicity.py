@@ -9,8 +9,8 @@ adds a penalty on the squared difference of the two scores, so that a group's me
 by itself moves the score little; that lowers false positives on neutral mentions.
 
 Labels are learned from a bounded sample of labelled rows (TRAIN_ROWS of each label, chosen by hash);
-which rows may teach is a condition that the caller gives. Features are hashed in Spark tasks and
-only the sample's counts reach the driver, where numpy trains. Every text is scored whole.
+which rows may teach is a condition that the caller gives. Features are hashed in Spark tasks, one task
+trains with numpy on the sample's counts, and only the weights reach the driver. Every text is scored whole.
 
 Edge cases: null and empty texts get the score of the intercept; without labels of both kinds every
 score is 0; a document labelled more than once counts as toxic if any of its labels says so; a null
@@ -263,22 +263,45 @@ def learn(docs: DataFrame, labels: DataFrame, may_teach: Column, rows: int = TRA
     found = chosen.select("doc_id", "label", "weight", "text").mapInArrow(
         _feature_counts, "doc_id long, label int, weight double, features binary, counts binary"
     )
-    # The sample's bound in words: at most TRAIN_WORDS (feature, count) pairs reach the driver.
+    # The sample's bound in words: at most TRAIN_WORDS (feature, count) pairs reach the task that trains.
     total = found.agg(F.sum(F.length("features") / 4)).first()[0] or 0
     if total > TRAIN_WORDS:
         found = found.filter(F.pmod(F.xxhash64(F.lit("bound"), "doc_id"), F.lit(1 << 30)) < int((1 << 30) * TRAIN_WORDS / total))
-    taken = found.toArrow()
-    if len(set(taken.column("label").to_pylist())) < 2:
+    trained = found.repartition(1).mapInArrow(_trainer(parameters), "features binary, weights binary, intercept double").collect()
+    if not trained:
         return None
-    sizes = pa.compute.binary_length(taken.column("features"))
-    taken = taken.append_column("size", sizes).sort_by([("doc_id", "ascending"), ("size", "ascending")])
-    lengths = taken.column("size").to_numpy() // 4
-    label, weight = (taken.column(c).to_numpy().astype(np.float64) for c in ("label", "weight"))
-    feature = _joined(taken.column("features"), np.int32)
-    value = _joined(taken.column("counts"), np.float32)
-    del taken
-    row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
-    return train(row, feature, value, label, weight, **parameters)
+    weights = np.zeros(1 << BITS, np.float32)
+    weights[np.frombuffer(trained[0]["features"], np.int32)] = np.frombuffer(trained[0]["weights"], np.float32)
+    return weights, trained[0]["intercept"]
+
+
+def _trainer(parameters: dict):
+    """The model of a whole sample as one row: features with a weight, their weights, intercept; none without both labels."""
+
+    def trainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not parts:
+            return
+        taken = pa.Table.from_batches(parts)
+        del parts
+        if len(set(taken.column("label").to_pylist())) < 2:
+            return
+        sizes = pa.compute.binary_length(taken.column("features"))
+        taken = taken.append_column("size", sizes).sort_by([("doc_id", "ascending"), ("size", "ascending")])
+        lengths = taken.column("size").to_numpy() // 4
+        label, weight = (taken.column(c).to_numpy().astype(np.float64) for c in ("label", "weight"))
+        feature = _joined(taken.column("features"), np.int32)
+        value = _joined(taken.column("counts"), np.float32)
+        del taken
+        row = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+        weights, intercept = train(row, feature, value, label, weight, **parameters)
+        places = np.flatnonzero(weights)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([places.astype(np.int32).tobytes()], pa.binary()), pa.array([weights[places].tobytes()], pa.binary()), pa.array([intercept], pa.float64())],
+            names=["features", "weights", "intercept"],
+        )
+
+    return trainer
 
 
 def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
