@@ -16,7 +16,8 @@ and how many ones come before it, so a query reads and unpacks one block a plane
 Encoding a word at a time: the tokenizer drops white space and splits words there before it merges,
 so a text's ids are those of its parts between white space. Each worker keeps the ids of the parts
 it has met in a hash table (bounded; it starts anew when full) and hands only new ones to the
-tokenizers library. Texts with the opening mark of a special token go to the library whole. The
+tokenizers library, many in one string, with a mark between them whose one id tells them apart (where
+a part gives that id itself, each part is a string of its own). Texts with the opening mark of a special token go to the library whole. The
 table serves tokenizers that ignore white space and letter case, as the default one does.
 
 Edge cases: a null text is empty and has just the end id; null doc_ids come first, repeated ids side
@@ -32,6 +33,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +48,12 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 SHARD_BYTES = 16 << 20
 TABLE_BITS = 21
+#: Pieces of text whose new parts are looked up and encoded together; they hold fewer parts than the table has free.
+PIECES = 4
+#: Parts in one string for the tokenizer, strings handed over at a time, and what stands between parts.
+JOINED = 500
+STRINGS = 16
+MARK = "\0"
 MAGIC = b"WGWM"
 BLOCK = 64 << 10  # bytes of a plane
 LEVEL = 1
@@ -65,11 +73,12 @@ class PartTable:
     def clear(self) -> None:
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.slots = np.full(1 << self.bits, -1, np.int32)
+        self.number = 0
         self.starts = np.zeros(1, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def __len__(self) -> int:
-        return len(self.starts) - 1
+        return self.number
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """The entry of each hash, -1 if it is new."""
@@ -84,8 +93,8 @@ class PartTable:
             open_ = open_[wrong]
         return entry
 
-    def add(self, hashes: np.ndarray, ids: list[list[int]]) -> None:
-        """Adds distinct, new hashes."""
+    def add(self, hashes: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Adds distinct, new hashes; `ids` holds their ids in a row."""
         mask = np.int64((1 << self.bits) - 1)
         entry = np.arange(len(self), len(self) + len(hashes), dtype=np.int32)
         at = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
@@ -99,10 +108,18 @@ class PartTable:
             left = left[~np.isin(left, placed, assume_unique=True)]
             taken = left[self.slots[at[left]] >= 0]
             at[taken] = (at[taken] + 1) & mask
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        flat = np.fromiter((x for run in ids for x in run), np.uint32, int(lengths.sum()))
-        self.ids = np.concatenate([self.ids, flat])
+        end = int(self.starts[self.number])
+        self.starts = _grown(self.starts, self.number + 1, end + np.cumsum(lengths))
+        self.ids = _grown(self.ids, end, ids)
+        self.number += len(hashes)
+
+
+def _grown(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """The array with `more` after its first `used` values; it doubles where there is no room."""
+    if used + len(more) > len(array):
+        array = np.concatenate([array[:used], np.zeros(max(used, 2 * len(more)), array.dtype)])
+    array[used : used + len(more)] = more
+    return array
 
 
 @lru_cache(maxsize=2)
@@ -110,7 +127,25 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), PartTable()
+    tokenizer = Tokenizer.from_file(path)
+    mark = tokenizer.encode(MARK, add_special_tokens=False).ids
+    return tokenizer, PartTable(), mark[0] if len(mark) == 1 else None
+
+
+def encode_parts(tokenizer, parts: list[str], mark: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all parts in a row, their number for each part); no part holds white space."""
+    if mark is not None:
+        text = [f" {MARK} ".join([*parts[i : i + JOINED], ""]) for i in range(0, len(parts), JOINED)]
+        ids = [np.zeros(0, np.uint32)]
+        for some in batched(text, STRINGS):
+            ids += [np.array(x.ids, np.uint32) for x in tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        between = np.flatnonzero(flat == mark)
+        if len(between) == len(parts):  # else a part gives this id too
+            return flat[flat != mark], np.diff(between, prepend=-1) - 1
+    ids = [x.ids for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter((x for run in ids for x in run), np.uint32, int(lengths.sum())), lengths
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -121,7 +156,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets): exactly what the tokenizer gives for each whole text."""
-    tokenizer, table = _tokenizer(path)
+    tokenizer, table, mark = _tokenizer(path)
     data, offsets = words.buffers(texts)
     raw = data[offsets[0] : offsets[-1]].tobytes() if len(data) else b""
     n = len(offsets) - 1
@@ -132,7 +167,8 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         special[text] = True
         at = raw.find(b"<|", int(offsets[text + 1] - offsets[0]))
     ids, owners = [], []
-    for _, starts, stops, hashes in words.spans(data, offsets, split_marks=True):
+    for pieces in batched(words.spans(data, offsets, split_marks=True), PIECES):
+        starts, stops, hashes = (np.concatenate([piece[k] for piece in pieces]) for k in (1, 2, 3))
         if len(table) > 1 << (table.bits - 1):
             table.clear()
         entry = table.find(hashes)
@@ -140,8 +176,12 @@ def encode(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         if len(new):
             found, first = np.unique(hashes[new], return_index=True)
             first = new[first]
-            parts = [words.FOLD[data[starts[i] : stops[i]]].tobytes().decode("utf-8", "replace") for i in first]
-            table.add(found, [x.ids for x in tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
+            # A line for each part, as no part holds a line break.
+            size = stops[first] - starts[first] + 1
+            lines = words.FOLD[data[np.minimum(words.runs(starts[first], size), len(data) - 1)]]
+            lines[np.cumsum(size) - 1] = ord("\n")
+            parts = lines.tobytes().decode("utf-8", "replace").split("\n")[:-1]
+            table.add(found, *encode_parts(tokenizer, parts, mark))
             entry[new] = table.find(hashes[new])
         begin = table.starts[entry]
         length = table.starts[entry + 1] - begin
