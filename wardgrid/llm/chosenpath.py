@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from wardgrid.llm import words
 from wardgrid.llm.components import components
 from wardgrid.llm.jaccard import shingle_sets
-from wardgrid.llm.shared import MAX_BROADCAST_ROWS, broadcast_if_small, shuffles_released, stored
+from wardgrid.llm.shared import MAX_BROADCAST_ROWS, TASK_ROWS, broadcast_if_small, fitted, shuffles_released, stored
 
 WORDS = 3
 PERCENT = 85
@@ -66,6 +66,8 @@ ROUNDS = 8
 PART = 1024
 #: Keys of more rows than this are hot, as long as there are so many rows that hot keys may be broadcast.
 HOT = 2_000
+#: Pairs of whole texts that are dealt to a task.
+TEXT_PAIRS = 5_000
 #: Classes in up to this many pairs are picked by broadcast (two names of 16 bytes a pair).
 MAX_BROADCAST_PAIRS = 250_000
 
@@ -323,18 +325,18 @@ def _meet(rows: DataFrame, named: DataFrame, key: str, total: int, how: str = "i
     limit = max(HOT, total // MAX_BROADCAST_ROWS)
     hot = named.filter(F.col("size") > limit)
     if hot.isEmpty():
-        return rows.join(named, key, how)
+        return fitted(rows.join(named, key, how), total)
     cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(named.filter(F.col("size") <= limit), key, how)
-    return cold.unionByName(rows.join(F.broadcast(hot), key))
+    return fitted(cold, total).unionByName(rows.join(F.broadcast(hot), key))
 
 
-def _both_sides(pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
+def _both_sides(pairs: DataFrame, side: DataFrame, total: int, a_task: int = TASK_ROWS) -> DataFrame:
     """The `total` pairs (a, b) with the columns of `side` (set, ..) for both, named .._a and .._b.
 
     The more frequent class of a pair becomes a; a class in very many pairs is dealt out in parts.
     """
     several = pairs.select(F.explode(F.array("a", "b")).alias("set")).groupBy("set").count().filter(F.col("count") > PART)
-    several = several.select("set", F.ceil(F.col("count") / PART).cast("int").alias("parts"))
+    several = fitted(several.select("set", F.ceil(F.col("count") / PART).cast("int").alias("parts")), total)
     if 2 * total // PART <= MAX_BROADCAST_ROWS:  # there cannot be more
         several = F.broadcast(several)
     for x in "ab":
@@ -351,7 +353,7 @@ def _both_sides(pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
     copies = side.join(several, "set", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)))
     side_a = copies.select(F.col("set").alias("a"), "salt", *[F.col(c).alias(f"{c}_a") for c in names])
     side_b = side.select(F.col("set").alias("b"), *[F.col(c).alias(f"{c}_b") for c in names])
-    return dealt.join(side_b, "b").join(side_a, ["a", "salt"]).drop("salt")
+    return fitted(dealt.join(side_b, "b"), total, a_task).join(side_a, ["a", "salt"]).drop("salt")
 
 
 class _Join:
@@ -363,11 +365,12 @@ class _Join:
         scanned = self.texts.mapInArrow(_scan(size), "doc_id long, n long, set binary, tokens binary")
         self.rows = stored(spark, scanned, "chosenpath-rows")
         known = self.rows.filter("n > 0 AND doc_id IS NOT NULL")
+        total = self.rows.count()
         grouped = known.groupBy("set").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("tokens").alias("tokens"))
-        self.classes = stored(spark, grouped, "chosenpath-classes")
+        self.classes = stored(spark, fitted(grouped, total), "chosenpath-classes")
         # Rows of one doc_id are one node: its sets are linked.
         name = F.xxhash64("set")
-        several = known.groupBy("doc_id").agg(F.min(name).alias("least"), F.max(name).alias("most")).filter("least != most")
+        several = fitted(known.groupBy("doc_id").agg(F.min(name).alias("least"), F.max(name).alias("most")).filter("least != most"), total)
         same = known.join(broadcast_if_small(several.select("doc_id")), "doc_id").select("doc_id", "set")
         links = same.join(same.groupBy("doc_id").agg(F.min("set").alias("a")), "doc_id")
         self.links = stored(spark, links.select("a", F.col("set").alias("b")).filter("a != b").distinct(), "chosenpath-links")
@@ -380,19 +383,19 @@ class _Join:
             self.placed = components(self.spark, self.links).select(F.col("node").alias("set"), F.col("component").alias("part"))
         return self.placed
 
-    def check(self, pairs: DataFrame) -> int:
-        """Verifies the pairs (a, b) not tried yet; returns how many links were new."""
+    def check(self, pairs: DataFrame, most: int) -> int:
+        """Verifies the pairs (a, b) not tried yet, of at most so many; returns how many links were new."""
         self.number += 1
         ordered = pairs.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")).select("a", "b").distinct()
         if self.number > 1:
             ordered = ordered.join(self.tried, ["a", "b"], "left_anti")
-        ordered = stored(self.spark, ordered, f"chosenpath-pairs-{self.number}")
+        ordered = stored(self.spark, fitted(ordered, most), f"chosenpath-pairs-{self.number}")
         self.tried = ordered if self.number == 1 else self.tried.unionAll(ordered)
         total = ordered.count()
         if total:
             tokens = self._of(ordered, self.classes.select("set", "tokens"), total)
-            both = _both_sides(ordered, tokens, total)
-            both = both.select("a", "b", "tokens_a", "tokens_b").mapInArrow(_agreeing(self.percent), "a binary, b binary")
+            both = fitted(_both_sides(ordered, tokens, total).select("a", "b", "tokens_a", "tokens_b"), total)
+            both = both.mapInArrow(_agreeing(self.percent), "a binary, b binary")
             ordered = stored(self.spark, both, f"chosenpath-agreeing-{self.number}")
             total = ordered.count()
         if not total:
@@ -408,36 +411,37 @@ class _Join:
 
     def _of(self, pairs: DataFrame, side: DataFrame, total: int) -> DataFrame:
         """The rows of `side` whose set is in one of the pairs."""
-        sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+        sets = fitted(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), total)
         return side.join(F.broadcast(sets) if total <= MAX_BROADCAST_PAIRS else sets, "set", "left_semi")
 
     def _whole(self, pairs: DataFrame, total: int) -> DataFrame:
         """The pairs whose whole sets reach the similarity."""
         texts = self._texts(self._of(pairs, self.classes.select("set", F.col("rep").alias("doc_id")), total), total)
-        whole = _both_sides(pairs, texts, total).select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
-        return whole.mapInArrow(_verify(self.size, self.percent), "a binary, b binary")
+        whole = _both_sides(pairs, texts, total, TEXT_PAIRS).select("a", "b", "text_a", "text_b").sortWithinPartitions("a")
+        return fitted(whole, total, TEXT_PAIRS).mapInArrow(_verify(self.size, self.percent), "a binary, b binary")
 
     def _texts(self, wanted: DataFrame, total: int) -> DataFrame:
         """(set, text) of the wanted classes (set, doc_id), which are in `total` pairs."""
         rows = self.texts.join(F.broadcast(wanted) if total <= MAX_BROADCAST_PAIRS else wanted, "doc_id")
         texts = rows.select("set", "text").mapInArrow(_texts_of_sets(self.size), "set binary, text string")
-        return stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"])
+        return fitted(stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"]), total)
 
-    def settle(self, dealt: DataFrame) -> None:
-        """Links that join the components of the likely pairs in the blocks of `dealt` (group, set, part, few)."""
+    def settle(self, dealt: DataFrame, total: int) -> None:
+        """Links that join the components of the likely pairs in the blocks of `dealt` (group, set, part, few), about `total` rows."""
         self.number += 1
-        likely = stored(self.spark, self._blocks(dealt).distinct(), f"chosenpath-likely-{self.number}")
+        likely = stored(self.spark, self._blocks(dealt, total), f"chosenpath-likely-{self.number}")
         if likely.isEmpty():
             return
         family = components(self.spark, likely).select(F.col("component").alias("node"), F.col("node").alias("set"))
-        rows, _ = self.open_rows(stored(self.spark, family.withColumn("n", F.lit(0)), f"chosenpath-families-{self.number}"))
+        rows, _, _ = self.open_rows(stored(self.spark, family.withColumn("n", F.lit(0)), f"chosenpath-families-{self.number}"))
+        total = rows.count()
         few = F.col("size") - F.col("rows") <= self.limits["small"]
         large = rows.filter(~few).select("set")
         dealt = self.exhaust(rows.filter(few)).unionAll(dealt.join(large, "set", "left_semi").select("group", "set", "part", "few"))
         wanted = self.classes.join(rows.select("set"), "set", "left_semi").select("set", F.col("rep").alias("doc_id"))
-        texts = self._texts(wanted, rows.count())
+        texts = self._texts(fitted(wanted, total), total)
         hashes = texts.mapInArrow(_hashes_of_sets(self.size), "set binary, hashes binary")
-        self._add(stored(self.spark, self._blocks(dealt, hashes), f"chosenpath-links-{self.number}"))
+        self._add(stored(self.spark, self._blocks(dealt, total, hashes), f"chosenpath-links-{self.number}"))
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, n_a, b, n_b) of lengths that allow the similarity."""
@@ -452,24 +456,26 @@ class _Join:
         ]
         return self.classes.select("set", "n", F.explode(F.array(*children)).alias("node"))
 
-    def open_rows(self, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows, nodes): rows (node, set, n, part) of the nodes that hold several components."""
-        placed = rows.join(self.parts(), "set", "left").select("node", "set", "n", F.coalesce("part", "set").alias("part"))
-        by_part = placed.groupBy("node", "part").agg(F.count("*").alias("rows"))
+    def open_rows(self, rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+        """(rows, nodes, number of rows): rows (node, set, n, part) of the nodes that hold several components."""
+        total = rows.count()
+        placed = fitted(rows.join(self.parts(), "set", "left"), total).select("node", "set", "n", F.coalesce("part", "set").alias("part"))
+        by_part = fitted(placed.groupBy("node", "part").agg(F.count("*").alias("rows")), total)
         nodes = by_part.groupBy("node").agg(
             F.sum("rows").alias("size"), F.max(F.struct("rows", "part")).alias("largest"), F.count("*").alias("parts")
         )
         nodes = nodes.filter("parts > 1").select("node", "size", F.col("largest.part").alias("largest"), F.col("largest.rows").alias("rows"))
-        nodes = stored(self.spark, nodes, f"chosenpath-nodes-{self.number}")
-        return stored(self.spark, _meet(placed, nodes, "node", rows.count()), f"chosenpath-open-{self.number}"), nodes
+        nodes = stored(self.spark, fitted(nodes, total), f"chosenpath-nodes-{self.number}")
+        open_ = stored(self.spark, _meet(placed, nodes, "node", total), f"chosenpath-open-{self.number}")
+        return open_, nodes, open_.count()
 
-    def stars(self, rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    def stars(self, rows: DataFrame, nodes: DataFrame, total: int) -> DataFrame:
         """Pairs of each class outside the largest component with one class of it, another one each round."""
         turn = F.struct(F.xxhash64(F.lit(self.number), "set").alias("turn"), "set", "n")
-        centers = rows.filter("part = largest").groupBy("node").agg(F.min(turn).alias("center"))
+        centers = fitted(rows.filter("part = largest").groupBy("node").agg(F.min(turn).alias("center")), total)
         sized = centers.join(nodes.select("node", "size"), "node").select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b"))
         outside = rows.filter("part != largest").select("node", F.col("set").alias("a"), F.col("n").alias("n_a"))
-        return self._near(_meet(outside, sized, "node", rows.count()))
+        return self._near(_meet(outside, fitted(sized, total), "node", total))
 
     def exhaust(self, rows: DataFrame) -> DataFrame:
         """The rows (group, set, part, few) of the blocks of nodes, or families, with few classes outside the largest component."""
@@ -492,17 +498,17 @@ class _Join:
         others = dealt.filter("own >= other").select("node", "set", "part", F.lit(False).alias("few"), F.col("other").alias("i"), F.col("own").alias("j"))
         return others.unionAll(asked).select(F.xxhash64("node", "i", "j").alias("group"), "set", "part", "few")
 
-    def _blocks(self, dealt: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
+    def _blocks(self, dealt: DataFrame, total: int, hashes: DataFrame | None = None) -> DataFrame:
         """Pairs that connect the likely pairs of each block; with the sets' hashes: the similar ones."""
         full = dealt.join(self.classes.select("set", "n", "tokens"), "set")
-        full = full if hashes is None else full.join(hashes, "set")
+        full = fitted(full if hashes is None else full.join(hashes, "set"), total)
         full = full.select("group", "set", "part", "few", "n", "tokens", *([] if hashes is None else ["hashes"]))
         full = full.repartition("group").sortWithinPartitions("group")
         return full.mapInArrow(_compare(self.percent, hashes is not None), "a binary, b binary")
 
-    def branch(self, rows: DataFrame) -> DataFrame:
+    def branch(self, rows: DataFrame, total: int) -> DataFrame:
         """(node, set, n) of the children of the nodes."""
-        full = rows.select("node", "set", "n").join(self.classes.select("set", "tokens"), "set")
+        full = fitted(rows.select("node", "set", "n").join(self.classes.select("set", "tokens"), "set"), total)
         chosen = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(POSITIONS)).cast("int") for k in range(BRANCHES)]
         # Two different positions for each node.
         for k in range(1, BRANCHES):
@@ -532,29 +538,31 @@ def link_documents(
         members = join.roots(trees)
         center = F.min(F.struct("set", "n"))
         nodes = members.groupBy("node").agg(F.count("*").alias("size"), center.alias("center")).filter("size > 1")
-        nodes = stored(spark, nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b")), "chosenpath-roots")
-        rows = stored(spark, _meet(members, nodes, "node", join.classes.count() * BRANCHES * trees), "chosenpath-members")
-        join.check(join._near(rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")))
+        nodes = nodes.select("node", "size", F.col("center.set").alias("b"), F.col("center.n").alias("n_b"))
+        total = join.classes.count() * BRANCHES * trees
+        rows = stored(spark, _meet(members, stored(spark, fitted(nodes, total), "chosenpath-roots"), "node", total), "chosenpath-members")
+        pairs = rows.select(F.col("set").alias("a"), F.col("n").alias("n_a"), "b", "n_b").filter("a != b")
+        join.check(join._near(pairs), rows.count())
         rows = rows.select("node", "set", "n")
         for _ in range(ROUNDS):
-            open_, nodes = join.open_rows(rows)
-            outside = open_.filter("part != largest").select("set").distinct().count()
+            open_, nodes, total = join.open_rows(rows)
+            outside = fitted(open_.filter("part != largest").select("set").distinct(), total).count()
             rows = open_.select("node", "set", "n")
-            if not outside or join.check(join.stars(open_, nodes)) < outside / 20:
+            if not outside or join.check(join.stars(open_, nodes, total), total) < outside / 20:
                 break
         for level in range(levels + 1):
-            open_, nodes = join.open_rows(rows)
-            if nodes.isEmpty():
+            open_, nodes, total = join.open_rows(rows)
+            if not total:
                 break
             few = F.col("size") - F.col("rows") <= small
-            join.settle(join.exhaust(open_.filter(few)))
+            join.settle(join.exhaust(open_.filter(few)), total)
             large = open_.filter(~few)
             if large.isEmpty():
                 break
             if level == levels:
-                join.settle(join.exhaust_large(large))
+                join.settle(join.exhaust_large(large), total)
             else:
-                rows = stored(spark, join.branch(large), f"chosenpath-level-{level}")
+                rows = stored(spark, join.branch(large, total), f"chosenpath-level-{level}")
         return join.rows.select("doc_id", "n", "set"), join.classes.select("set", "rep"), join.parts()
 
 
@@ -562,12 +570,15 @@ def group_documents(spark: SparkSession, docs: DataFrame, size: int = WORDS, per
     """doc_id, n_shingles, component_id, kept of every document."""
     rows, classes, parts = link_documents(spark, docs, size, percent, **parameters)
     placed = classes.join(parts, "set", "left").select("set", "rep", F.coalesce("part", "set").alias("part"))
-    least = placed.groupBy("part").agg(F.min("rep").alias("component_id"), F.count("*").alias("sets"))
+    total = rows.count()
+    placed = fitted(placed, total)
+    least = fitted(placed.groupBy("part").agg(F.min("rep").alias("component_id"), F.count("*").alias("sets")), total)
     # Classes of several rows or components get their name by join; all other rows name themselves.
-    named = placed.join(least, "part").select("set", "rep", "component_id", "sets")
+    named = fitted(placed.join(least, "part"), total).select("set", "rep", "component_id", "sets")
     full = rows.filter("n > 0 AND doc_id IS NOT NULL")
-    several = full.groupBy("set").agg(F.count("*").alias("size")).join(named, "set").filter("size > 1 OR sets > 1")
-    joined = _meet(full, several.select("set", "size", "component_id"), "set", rows.count(), "left")
+    sizes = fitted(full.groupBy("set").agg(F.count("*").alias("size")), total)
+    several = fitted(sizes.join(named, "set"), total).filter("size > 1 OR sets > 1")
+    joined = _meet(full, several.select("set", "size", "component_id"), "set", total, "left")
     joined = joined.select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
     other = rows.filter("n = 0 OR doc_id IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return joined.unionAll(other).select(

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 #: A table of at most this many rows (bounded row width) may be broadcast.
 MAX_BROADCAST_ROWS = 100_000
 
+#: Steps of known, few rows run in as many tasks as these need: one for TASK_ROWS, FEW_TASKS at least.
+TASK_ROWS = 20_000
+FEW_TASKS = 8
+
 #: With this, Spark drops a query's shuffle files when the query ends, not when the driver collects its garbage.
 RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -91,6 +95,11 @@ def open_file(uri: str):
     return store.open_input_file(path)
 
 
+def fitted(df: DataFrame, rows: int, a_task: int = TASK_ROWS) -> DataFrame:
+    """df, which has about so many rows after a shuffle, in no more tasks than these need; without another shuffle."""
+    return df.coalesce(max(FEW_TASKS, -(-rows // a_task)))
+
+
 def is_small(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
