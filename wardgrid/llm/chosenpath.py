@@ -426,10 +426,11 @@ class _Join:
         texts = rows.select("set", "text").mapInArrow(_texts_of_sets(self.size), "set binary, text string")
         return fitted(stored(self.spark, texts, f"chosenpath-texts-{self.number}").dropDuplicates(["set"]), total)
 
-    def settle(self, dealt: DataFrame, total: int) -> None:
-        """Links that join the components of the likely pairs in the blocks of `dealt` (group, set, part, few), about `total` rows."""
+    def settle(self, dealt: DataFrame) -> None:
+        """Links that join the components of the likely pairs in the blocks of `dealt` (group, set, part, few)."""
         self.number += 1
-        likely = stored(self.spark, self._blocks(dealt, total), f"chosenpath-likely-{self.number}")
+        met = dealt.count()  # rows of whole nodes in all their blocks: many more than classes
+        likely = stored(self.spark, self._blocks(dealt, met), f"chosenpath-likely-{self.number}")
         if likely.isEmpty():
             return
         family = components(self.spark, likely).select(F.col("component").alias("node"), F.col("node").alias("set"))
@@ -437,11 +438,13 @@ class _Join:
         total = rows.count()
         few = F.col("size") - F.col("rows") <= self.limits["small"]
         large = rows.filter(~few).select("set")
-        dealt = self.exhaust(rows.filter(few)).unionAll(dealt.join(large, "set", "left_semi").select("group", "set", "part", "few"))
+        again = self.exhaust(rows.filter(few))
+        met += again.count()
+        dealt = again.unionAll(dealt.join(large, "set", "left_semi").select("group", "set", "part", "few"))
         wanted = self.classes.join(rows.select("set"), "set", "left_semi").select("set", F.col("rep").alias("doc_id"))
         texts = self._texts(fitted(wanted, total), total)
         hashes = texts.mapInArrow(_hashes_of_sets(self.size), "set binary, hashes binary")
-        self._add(stored(self.spark, self._blocks(dealt, total, hashes), f"chosenpath-links-{self.number}"))
+        self._add(stored(self.spark, self._blocks(dealt, met, hashes), f"chosenpath-links-{self.number}"))
 
     def _near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, n_a, b, n_b) of lengths that allow the similarity."""
@@ -555,12 +558,12 @@ def link_documents(
             if not total:
                 break
             few = F.col("size") - F.col("rows") <= small
-            join.settle(join.exhaust(open_.filter(few)), total)
+            join.settle(join.exhaust(open_.filter(few)))
             large = open_.filter(~few)
             if large.isEmpty():
                 break
             if level == levels:
-                join.settle(join.exhaust_large(large), total)
+                join.settle(join.exhaust_large(large))
             else:
                 rows = stored(spark, join.branch(large, total), f"chosenpath-level-{level}")
         return join.rows.select("doc_id", "n", "set"), join.classes.select("set", "rep"), join.parts()
