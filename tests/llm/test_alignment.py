@@ -128,6 +128,22 @@ def test_words_give_the_ids_of_whole_texts(tools, monkeypatch):
     assert alignment.cuts(raw).tolist() == [2, 8, 14]
 
 
+def test_table_keeps_the_ids_of_both_tokenizers(tools):
+    table = alignment._Table(6)
+    parts = [[b" one", b" unbelievably"], [b" a", " naïveté".encode(), b" two  "], [b" x"]]
+    for _ in range(2):  # new, then started anew
+        for k, some in enumerate(parts):
+            hashes = (np.arange(len(some), dtype=np.uint64) + np.uint64(10 * k + 1)) << np.uint64(50)
+            table.add_both(hashes, *tools.encode(some))
+            for i, part in zip(table.find(hashes).tolist(), some, strict=True):
+                want = tools.a.encode(part.decode(), add_special_tokens=False).ids, tools.b.encode(part.decode()[1:])
+                for ids, starts, wanted in ((table.ids, table.starts, want[0]), (table.ids_b, table.starts_b, want[1])):
+                    assert ids[starts[i] : starts[i + 1]].tolist() == wanted
+                assert table.good[i] == (b"".join(tools.bytes_b[x] for x in want[1]) == part)
+        assert len(table) == 6
+        table.clear()
+
+
 def test_windows_change_nothing(tools, monkeypatch):
     (a, _), (b, _) = alignment.token_ids(pa.array([TEXTS[-1] + TEXTS[0] * 20]), tools)
     ends = [np.cumsum(of[ids]) for of, ids in ((tools.lengths_a, a), (tools.lengths_b, b))]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from wardgrid.llm import words
 from wardgrid.llm.shared import broadcast_if_small, is_small, stored
-from wardgrid.llm.wavelet import PartTable
+from wardgrid.llm.wavelet import PartTable, _grown
 
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
@@ -139,11 +139,12 @@ class _Table(PartTable):
         self.good = np.zeros(0, bool)
 
     def add_both(self, hashes: np.ndarray, ids_a: list[list[int]], ids_b: list[list[int]], good: np.ndarray) -> None:
-        self.add(hashes, ids_a)
-        lengths = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
-        self.starts_b = np.concatenate([self.starts_b, self.starts_b[-1] + np.cumsum(lengths)])
-        self.ids_b = np.concatenate([self.ids_b, _flat(ids_b)])
-        self.good = np.concatenate([self.good, good])
+        before, end = len(self), int(self.starts_b[len(self)])
+        lengths_a, lengths_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
+        self.add(hashes, _flat(ids_a), lengths_a)
+        self.starts_b = _grown(self.starts_b, before + 1, end + np.cumsum(lengths_b))
+        self.ids_b = _grown(self.ids_b, end, _flat(ids_b))
+        self.good = _grown(self.good, before, good)
 
 
 @lru_cache(maxsize=2)
