@@ -28,6 +28,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,8 @@ SALTS = 64
 SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
+#: Ids in a row, and their number for each string.
+type _Runs = tuple[np.ndarray, np.ndarray]
 
 
 def tokenizer_path(name: str) -> str:
@@ -95,11 +98,11 @@ class Tokenizers:
         self.by_words = not any(" " in p.lstrip(" ") for p in (self.b.id_to_piece(i).replace("▁", " ") for i in self.bytes_b))
         self.table = _Table(TABLE_BITS)
 
-    def encode(self, raws: list[bytes]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+    def encode(self, raws: list[bytes]) -> tuple[_Runs, _Runs, np.ndarray]:
         """(A's ids, B's ids, whether both give the bytes back) of strings that begin with the space."""
         texts = [r.decode() for r in raws]
-        a = [x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        a = _flat([x.ids for x in self.a.encode_batch_fast(texts, add_special_tokens=False)])
+        b = _flat(self.b.encode([t[1:] for t in texts], num_threads=1))
         return a, b, _gives_back(a, raws, self.spellings[0]) & _gives_back(b, raws, self.spellings[1])
 
 
@@ -111,15 +114,16 @@ def _spellings(of: dict[int, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return data, np.cumsum(lengths) - lengths, lengths
 
 
-def _flat(runs: list[list[int]]) -> np.ndarray:
-    return np.fromiter((x for run in runs for x in run), np.uint32, sum(map(len, runs)))
+def _flat(runs: list[list[int]]) -> _Runs:
+    lengths = np.fromiter(map(len, runs), np.int64, len(runs))
+    return np.fromiter(chain.from_iterable(runs), np.uint32, int(lengths.sum())), lengths
 
 
-def _gives_back(ids: list[list[int]], raws: list[bytes], spellings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+def _gives_back(ids: _Runs, raws: list[bytes], spellings: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
     """Whether the ids' bytes in a row are the string, for each of the strings."""
     data, starts, lengths = spellings
-    flat = _flat(ids)
-    owner = np.repeat(np.arange(len(ids)), np.fromiter(map(len, ids), np.int64, len(ids)))
+    flat, counts = ids
+    owner = np.repeat(np.arange(len(counts)), counts)
     sizes = np.fromiter(map(len, raws), np.int64, len(raws))
     good = np.bincount(owner, lengths[flat], len(raws)).astype(np.int64) == sizes
     flat = flat[good[owner]]
@@ -138,12 +142,12 @@ class _Table(PartTable):
         self.starts_b, self.ids_b = np.zeros(1, np.int64), np.zeros(0, np.uint32)
         self.good = np.zeros(0, bool)
 
-    def add_both(self, hashes: np.ndarray, ids_a: list[list[int]], ids_b: list[list[int]], good: np.ndarray) -> None:
+    def add_both(self, hashes: np.ndarray, ids_a: _Runs, ids_b: _Runs, good: np.ndarray) -> None:
         before, end = len(self), int(self.starts_b[len(self)])
-        lengths_a, lengths_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b))
-        self.add(hashes, _flat(ids_a), lengths_a)
-        self.starts_b = _grown(self.starts_b, before + 1, end + np.cumsum(lengths_b))
-        self.ids_b = _grown(self.ids_b, end, _flat(ids_b))
+        self.add(hashes, *ids_a)
+        flat, lengths = ids_b
+        self.starts_b = _grown(self.starts_b, before + 1, end + np.cumsum(lengths))
+        self.ids_b = _grown(self.ids_b, end, flat)
         self.good = _grown(self.good, before, good)
 
 
@@ -194,7 +198,11 @@ def token_ids(texts: pa.Array, tools: Tokenizers) -> list[tuple[np.ndarray, np.n
     behind = np.ones(len(raw), bool)
     behind[starts[:-1]] = False
     raw[behind] = data
-    edges = np.union1d(starts, cuts(raw)) if tools.by_words else starts
+    begins_part = np.zeros(len(raw) + 1, bool)
+    begins_part[starts] = True
+    if tools.by_words:
+        begins_part[cuts(raw)] = True
+    edges = np.flatnonzero(begins_part)
     good = np.diff(offsets) > 0
     table = tools.table
     found: list[list[np.ndarray]] = [[], []]
@@ -265,32 +273,24 @@ def links(cuts_a: np.ndarray, cuts_b: np.ndarray, ends_a: np.ndarray, ends_b: np
     return before_a, before_b
 
 
-class _Texts:
-    """Decimal ids with the mark behind them, for the groups' text."""
-
-    def __init__(self, size: int, last: str) -> None:
-        self.marked = [f"{i}," for i in range(size)] + [f"{i}{last}" for i in range(size)]
-        self.size = size
-
-
 @lru_cache(maxsize=2)
-def _marked(size: int, last: str) -> _Texts:
-    return _Texts(size, last)
+def _marked(size_a: int, size_b: int) -> list[str]:
+    """Decimal ids of A, then of B, with the mark behind them, for the groups' text: within a group, then at its end."""
+    return [f"{i}{mark}" for size, last in ((size_a, "|"), (size_b, ";")) for mark in (",", last) for i in range(size)]
 
 
 def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray, sizes: tuple[int, int]) -> str:
     """`a1,a2|b1;a3|b2,b3`: the ids of each group in order."""
-    a, b = _marked(sizes[0], "|"), _marked(sizes[1], ";")
-    codes_a, codes_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
-    codes_a[cuts_a - 1] += a.size
-    codes_b[cuts_b - 1] += b.size
-    texts_a, texts_b = [a.marked[k] for k in codes_a.tolist()], [b.marked[k] for k in codes_b.tolist()]
+    marked = _marked(*sizes)
+    codes_a, codes_b = ids_a.astype(np.int64), ids_b + np.int64(2 * sizes[0])
+    codes_a[cuts_a - 1] += sizes[0]
+    codes_b[cuts_b - 1] += sizes[1]
     # Group by group: A's tokens, then B's.
-    group_a = np.searchsorted(cuts_a, np.arange(len(ids_a)), "right")
-    group_b = np.searchsorted(cuts_b, np.arange(len(ids_b)), "right")
-    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-    texts = texts_a + texts_b
-    return "".join([texts[k] for k in order.tolist()])[:-1]
+    in_a, in_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+    codes = np.empty(len(codes_a) + len(codes_b), np.int64)
+    codes[np.arange(len(codes_a)) + np.repeat(cuts_b - in_b, in_a)] = codes_a
+    codes[np.arange(len(codes_b)) + np.repeat(cuts_a, in_b)] = codes_b
+    return "".join(map(marked.__getitem__, codes.tolist()))[:-1]
 
 
 # ---------------------------------------------------------------------------- Spark
